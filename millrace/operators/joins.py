@@ -1,0 +1,38 @@
+"""Equi-joins that stay even when a few keys hold most of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# More keys than this cannot each hold a thousandth of the rows, so none of them can stall a task.
+_MAX_HOT = 1000
+
+
+def join_hot_keys(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_rows: int = 1_000_000, salts: int = 64
+) -> DataFrame:
+    """Join on `key`, spreading keys with at least `hot_rows` left rows over `salts` tasks.
+
+    `right` should hold few rows per key. Only the 64-bit hashes of at most 1,000 hot keys are
+    broadcast; a hash collision merely salts one more key. Keys below the threshold are joined plainly,
+    so the result is that of an ordinary join. The salt is a hash of the left row, hence the same when a
+    lost task is run again; rows equal in every column share a task.
+    """
+    hashed = F.xxhash64(key)
+    hot = (
+        left.groupBy(hashed.alias("_hot"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") >= hot_rows)
+        .orderBy(F.desc("_rows"), "_hot")
+        .limit(_MAX_HOT)
+        .select("_hot")
+    )
+    hot = F.broadcast(hot)
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    salted_left = left.join(hot, hashed == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0)
+    )
+    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.join(hot, hashed == F.col("_hot"), "left").withColumn("_salt", F.explode(copies))
+    return salted_left.drop("_hot").join(salted_right.drop("_hot"), [key, "_salt"], how).drop("_salt")
