@@ -11,23 +11,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.let import bind
+from millrace.functions.text import trim_space, unix_lines
 
 #: Stands for a line feed inside a raw string or block comment.
 FOLD = "\x02"
 
 # Tokens that can hide line starts, or hide the start of such a token. Possessive loops do not recurse.
-_TOKENS = r"""(?s)`[^`]*+`|/\*.*?\*/|//[^\n]*+|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'"""
+_TOKENS = (
+    r"""(?s)(?=[`"'/])(?:`[^`]*+`|/\*.*?\*/|//[^\n]*+|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
+)
 
 
 def fold(source: Column) -> Column:
-    def woven(text: Column) -> Column:
-        tokens = F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
-        one_line = F.transform(tokens, lambda t: F.replace(t, F.lit("\n"), F.lit(FOLD)))
-        between = F.split(text, _TOKENS, -1)
-        joined = F.zip_with(between, one_line, lambda b, t: F.concat(b, F.coalesce(t, F.lit(""))))
-        return F.when(text.rlike(r"`|/\*"), F.array_join(joined, "")).otherwise(text)
-
-    return bind(F.regexp_replace(F.translate(source, FOLD, ""), r"\r\n?", "\n"), woven)
+    text = F.regexp_replace(unix_lines(source), r"[\x02\x03]", "")
+    fenced = F.split(F.regexp_replace(text, _TOKENS, "\x03$0\x03"), "\x03", -1)
+    pieces = F.transform(
+        fenced, lambda s, i: F.when(i % 2 == 1, F.replace(s, F.lit("\n"), F.lit(FOLD))).otherwise(s)
+    )
+    return F.array_join(pieces, "")
 
 
 def unfold(text: Column) -> Column:
@@ -46,10 +47,45 @@ def import_paths(folded: Column) -> Column:
     return F.regexp_extract_all(bare, F.lit(r"""["`]([^"`\n]+)["`]"""), F.lit(1))
 
 
+# A line up to its trailing comment.
+_CODE_PART = (
+    r"""^(?:[^"'`/]++|"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|`[^`]*+`|/\*.*?\*/|/(?![/*]))*+"""
+)
+
+
+def code_part(text: Column) -> Column:
+    """First line without a trailing comment."""
+    return F.rtrim(F.regexp_extract(F.substring_index(text, "\n", 1), _CODE_PART, 0), F.lit(" \t"))
+
+
+def _declaration_text(chunk: Column) -> Column:
+    """The function itself: one line, or the chunk cut at its closing brace."""
+
+    def cut(code: Column) -> Column:
+        close = F.regexp_instr(chunk, F.lit(r"(?m)^\}[ \t\r]*(?:/[/*].*)?$"))
+        to_brace = bind(close, lambda c: F.when(c > 0, F.substr(chunk, F.lit(1), c)).otherwise(code))
+        return unfold(F.when(code.rlike(r"[{(\[,]$"), to_brace).otherwise(code))
+
+    return bind(code_part(chunk), cut)
+
+
+def _doc_text(doc_lines: Column) -> Column:
+    """Comment text without markers and directives, blank runs collapsed, trimmed."""
+    plain = F.transform(
+        F.filter(doc_lines, lambda l: ~l.rlike(r"^//(?:line |extern |export |[a-z0-9]+:[a-z0-9])")),
+        lambda l: F.when(
+            l.startswith("//"), F.regexp_replace(l, r"^// ?", "")
+        ).otherwise(unfold(F.regexp_replace(l, r"^/\*|\*/\s*$", ""))),
+    )
+    text = F.regexp_replace(F.array_join(plain, "\n"), r"(?m)[ \t\r]+$", "")
+    return trim_space(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+
+
 def declarations(folded: Column) -> Column:
-    """Array of (line_number, chunk, doc_lines), one per line that starts a function.
+    """Array of (line_number, doc, declaration, body), one per line that starts a function.
 
-    `chunk` runs to the next declaration; `doc_lines` are the comment lines directly above.
+    A declaration is sought up to the next one; its doc are the comment lines directly above. All texts
+    are made here, per file, so that filters on the rows exploded from this array compute nothing again.
     """
 
     def starts_of(lines: Column) -> Column:
@@ -64,11 +100,22 @@ def declarations(folded: Column) -> Column:
         end = F.coalesce(F.get(starts, i + 1), F.size(lines))
         previous = F.when(i > 0, F.get(starts, i - 1)).otherwise(F.lit(-1))
         above = F.slice(lines, previous + 2, start - previous - 1)
-        return F.struct(
-            (start + 1).cast("bigint").alias("line_number"),
-            F.array_join(F.slice(lines, start + 1, end - start), "\n").alias("chunk"),
-            bind(above, comments_at_end).alias("doc_lines"),
+        chunk = F.array_join(F.slice(lines, start + 1, end - start), "\n")
+
+        def unit(parts: Column) -> Column:
+            declaration, doc_lines = parts["declaration"], parts["doc_lines"]
+            comment = unfold(F.array_join(F.transform(doc_lines, lambda l: F.concat(l, F.lit("\n"))), ""))
+            return F.struct(
+                (start + 1).cast("bigint").alias("line_number"),
+                _doc_text(doc_lines).alias("doc"),
+                declaration.alias("declaration"),
+                F.concat(comment, declaration).alias("body"),
+            )
+
+        parts = F.struct(
+            bind(chunk, _declaration_text).alias("declaration"), bind(above, comments_at_end).alias("doc_lines")
         )
+        return bind(parts, unit)
 
     def all_of(lines: Column) -> Column:
         return bind(
@@ -76,35 +123,3 @@ def declarations(folded: Column) -> Column:
         )
 
     return bind(F.split(folded, "\n", -1), all_of)
-
-
-def doc_text(doc_lines: Column) -> Column:
-    """Comment text without markers and directives, blank runs collapsed, trimmed."""
-    plain = F.transform(
-        F.filter(doc_lines, lambda l: ~l.rlike(r"^//(?:line |extern |export |[a-z0-9]+:[a-z0-9])")),
-        lambda l: F.when(
-            l.startswith("//"), F.regexp_replace(l, r"^// ?", "")
-        ).otherwise(unfold(F.regexp_replace(l, r"^/\*|\*/\s*$", ""))),
-    )
-    text = F.regexp_replace(F.array_join(plain, "\n"), r"(?m)[ \t\r]+$", "")
-    return F.regexp_replace(text, r"\n{3,}", "\n\n")
-
-
-# A line up to its trailing comment.
-_CODE_PART = (
-    r"""^(?:[^"'`/]++|"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|`[^`]*+`|/\*.*?\*/|/(?![/*]))*+"""
-)
-
-
-def code_part(text: Column) -> Column:
-    """First line without a trailing comment."""
-    return F.rtrim(F.regexp_extract(F.substring_index(text, "\n", 1), _CODE_PART, 0), F.lit(" \t"))
-
-
-def declaration_text(chunk: Column) -> Column:
-    """The function itself: one line, or the chunk cut at its closing brace."""
-    code = code_part(chunk)
-    close = F.regexp_instr(chunk, F.lit(r"(?m)^\}[ \t\r]*(?:/[/*].*)?$"))
-    return unfold(
-        F.when(code.rlike(r"[{(\[,]$") & (close > 0), F.substr(chunk, F.lit(1), close)).otherwise(code)
-    )

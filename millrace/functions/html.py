@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.entities import decode_entities
+from millrace.functions.text import unix_lines
 
 # The rest of a tag: quoted attribute values may hold '>'. Possessive loops run without recursion.
 _REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
@@ -29,19 +30,26 @@ BLOCKS = (
     "td", "tfoot", "th", "thead", "tr", "ul",
 )
 
-_RAW = r"(?is)<!--.*?(?:--!?>|\z)" + "".join(
-    rf"|<{name}{_AFTER_NAME}(.*?)(?:</{name}[\s/>][^>]*>?|\z)" for name in RAW_TEXT
-)
+# Every pattern starts with a plain '<', so that text between tags is passed over quickly.
+_RAW = r"(?is)<(?:!--.*?(?:--!?>|\z)" + "".join(
+    rf"|{name}{_AFTER_NAME}(.*?)(?:</{name}[\s/>][^>]*>?|\z)" for name in RAW_TEXT
+) + ")"
 _RAW_GROUPS = "".join(f"${i + 1}" for i in range(len(RAW_TEXT)))
 _PRE = rf"(?is)<pre{_AFTER_NAME}(.*?)(?:</pre\s*>|\z)"
-_TAG = rf"(?is)</?[a-z]{_REST}|</?[a-z][^>]*(?:>|\z)|<[!?/][^>]*(?:>|\z)"
+_TAG = rf"(?is)<(?:/?[a-z](?:{_REST}|[^>]*(?:>|\z))|[!?/][^>]*(?:>|\z))"
 _HEADING = rf"(?i)<h[123]{_AFTER_NAME}"
 _PARAGRAPH = rf"(?i)<p{_AFTER_NAME}"
-_BLOCK = rf"(?i)</?(?:{'|'.join(BLOCKS)}|h[1-6]){_AFTER_NAME}|</p{_AFTER_NAME}"
+_BLOCK = rf"(?i)<(?:/p|/?(?:{'|'.join(BLOCKS)}|h[1-6])){_AFTER_NAME}"
 _ANCHOR = r"""(?is)<a[\s/]((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 _ATTRIBUTE = r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 
 
+def _swap(text: Column, characters: dict[str, str]) -> Column:
+    for old, new in characters.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def _fenced(text: Column, protect) -> Column:
     """Apply `protect` to every second \\x02-separated piece."""
     pieces = F.transform(
@@ -52,9 +60,9 @@ def _fenced(text: Column, protect) -> Column:
 
 def protect_raw_text(html: Column) -> Column:
     """Drop comments and the tags of raw-text elements; keep that text safe from later passes."""
-    clean = F.regexp_replace(F.translate(html, "\x01\x02\x03\x04\x05", ""), r"\r\n?", "\n")
+    clean = F.regexp_replace(unix_lines(html), r"[\x01-\x05]", "")
     fenced = F.regexp_replace(clean, _RAW, f"\x02{_RAW_GROUPS}\x02")
-    return _fenced(fenced, lambda s: F.translate(s, "<&", "\x04\x05"))
+    return _fenced(fenced, lambda s: _swap(s, {"<": "\x04", "&": "\x05"}))
 
 
 def strip_tags(html: Column) -> Column:
@@ -67,7 +75,7 @@ def mark_blocks(html: Column) -> Column:
     text = _fenced(fenced, lambda s: F.concat(F.lit("\x01C"), strip_tags(s), F.lit("\x01X")))
     for pattern, marker in ((_HEADING, "H"), (_PARAGRAPH, "P"), (_BLOCK, "X")):
         text = F.regexp_replace(text, pattern, f"\x01{marker}")
-    return F.translate(decode_entities(strip_tags(text)), "\x04\x05", "<&")
+    return _swap(decode_entities(strip_tags(text)), {"\x04": "<", "\x05": "&"})
 
 
 def anchor_hrefs(html: Column) -> Column:
@@ -82,6 +90,6 @@ def anchor_hrefs(html: Column) -> Column:
 
     def plain(value: Column) -> Column:
         unquoted = F.regexp_replace(value, r"""^["']|["']$""", "")
-        return F.translate(decode_entities(unquoted, in_attribute=True), "\x04\x05", "<&")
+        return _swap(decode_entities(unquoted, in_attribute=True), {"\x04": "<", "\x05": "&"})
 
     return F.transform(F.flatten(F.transform(tags, hrefs)), plain)

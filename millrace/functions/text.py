@@ -36,3 +36,8 @@ def line_count(text: Column) -> Column:
 
 def first_line(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
+
+
+def unix_lines(text: Column) -> Column:
+    """CR LF and lone CR become LF."""
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import gosource
@@ -19,10 +19,10 @@ def drop_generated_files(files: DataFrame) -> DataFrame:
     return files.where(~head_contains(F.col("src"), FILE_MARKERS, MARKER_WINDOW))
 
 
-def unit_signature(body_with_doc: bool = False):
-    """Signature column: the `func` line, or the first body line (the doc line where there is one)."""
-    line = F.col("body") if body_with_doc else gosource.code_part(F.col("declaration"))
-    return F.regexp_replace(first_line(line), r" \{$", "")
+def unit_signature(from_body: bool = False) -> Column:
+    """The `func` line without its brace, or else the first body line: the doc line where there is one."""
+    line = first_line(F.col("unit.body")) if from_body else gosource.code_part(F.col("unit.declaration"))
+    return F.regexp_replace(line, r" \{$", "")
 
 
 def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame:
@@ -30,39 +30,28 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
 
     `body` is the source text including the doc comment, `imports` every import of the file, and
     `line_number` the line of the `func` keyword. Comments in bodies stay. Files are not parsed: one
-    that would not compile still gives the functions that can be recognised.
+    that would not compile still gives the functions that can be recognised. Text without a package
+    clause gives none.
     """
     folded = files.select("path", gosource.fold(F.col("src")).alias("folded"))
+    package = gosource.package_name(F.col("folded"))
     units = folded.select(
         "path",
-        gosource.package_name(F.col("folded")).alias("package"),
+        package.alias("package"),
         gosource.import_paths(F.col("folded")).alias("imports"),
-        F.explode(gosource.declarations(F.col("folded"))).alias("unit"),
+        F.explode(F.when(package != "", gosource.declarations(F.col("folded")))).alias("unit"),
     )
-    # A file that only mentions `func ` at a line start, without a package clause, is not Go.
-    texts = units.where("package <> ''").select(
-        "path",
+    declaration = F.col("unit.declaration")
+    return units.select(
         "package",
-        "imports",
-        "unit.line_number",
-        "unit.doc_lines",
-        gosource.declaration_text(F.col("unit.chunk")).alias("declaration"),
-    )
-    comment = gosource.unfold(F.array_join("doc_lines", "\n"))
-    bodies = texts.withColumn(
-        "body",
-        F.when(F.size("doc_lines") > 0, F.concat_ws("\n", comment, "declaration")).otherwise(F.col("declaration")),
-    )
-    return bodies.select(
-        "package",
-        F.regexp_extract("declaration", r"^func (?:\([^)]*\) ?)?([^\s(\[]+)", 1).alias("name"),
-        F.regexp_extract("declaration", r"^func \((?:[^\s()*\[\]]+\s+)?([^()]+?)\s*\)", 1).alias("receiver"),
-        trim_space(gosource.doc_text(F.col("doc_lines"))).alias("doc"),
+        F.regexp_extract(declaration, r"^func (?:\([^)]*\) ?)?([^\s(\[]+)", 1).alias("name"),
+        F.regexp_extract(declaration, r"^func \((?:[^\s()*\[\]]+\s+)?([^()]+?)\s*\)", 1).alias("receiver"),
+        "unit.doc",
         unit_signature(signature_from_body).alias("signature"),
-        "body",
+        "unit.body",
         "imports",
         F.col("path").alias("file_path"),
-        "line_number",
+        "unit.line_number",
     )
 
 

@@ -19,6 +19,7 @@ JUDGE_PROMPT = (
     "Code to evaluate:\n%s"
 )
 MIN_FIM_BYTES = 10
+_CUT_COLUMNS = ("_size", "_cut", "_resume")
 
 EXAMPLE_COLUMNS = ("text", "instruction", "output", "source", "category")
 EXAMPLE_SCHEMA = ", ".join(f"{c} STRING" for c in EXAMPLE_COLUMNS)
@@ -28,24 +29,30 @@ def long_enough_for_fim(body: Column) -> Column:
     return F.octet_length(body) >= MIN_FIM_BYTES
 
 
-def fim_text(body: Column, cut_draw: Column) -> Column:
-    """Cut `body` in three and join it as prefix, suffix, middle.
+def with_cuts(units: DataFrame, cut_draw: Column) -> DataFrame:
+    """Add `_cut` and `_resume`, the character positions at which a body is cut.
 
     The first cut falls in the middle half, the second halfway between it and the end. Positions count
     characters, so no character is cut apart.
     """
-    size = F.char_length(body)
-    low = F.floor(size / 4)
-    high = F.floor(size * 3 / 4)
-    cut = low + cut_draw % (high - low)
-    resume = cut + F.floor((size - cut) / 2)
+    size = F.col("_size")
+    low, high = F.floor(size / 4), F.floor(size * 3 / 4)
+    sized = units.withColumn("_size", F.char_length("body"))
+    # Bodies too short to be cut have no room between the bounds.
+    cut = sized.withColumn("_cut", (low + cut_draw % F.greatest(high - low, F.lit(1))).cast("int"))
+    return cut.withColumn("_resume", (F.col("_cut") + F.floor((size - F.col("_cut")) / 2)).cast("int"))
+
+
+def fim_text() -> Column:
+    """Prefix, suffix and middle of a cut body, in this order."""
+    body, cut, resume = F.col("body"), F.col("_cut"), F.col("_resume")
     return F.concat(
         F.lit(FIM_PREFIX),
-        F.substr(body, F.lit(1), cut.cast("int")),
+        F.substr(body, F.lit(1), cut),
         F.lit(FIM_SUFFIX),
-        F.substr(body, (resume + 1).cast("int")),
+        F.substr(body, resume + 1),
         F.lit(FIM_MIDDLE),
-        F.substr(body, (cut + 1).cast("int"), (resume - cut).cast("int")),
+        F.substr(body, cut + 1, resume - cut),
     )
 
 
@@ -57,15 +64,15 @@ def instruction_text() -> Column:
 
 def format_fim(units: DataFrame, cut_draw: Column) -> DataFrame:
     """Units (`body`, `file_path`) to fill-in-the-middle examples; too short ones are dropped."""
-    return units.where(long_enough_for_fim(F.col("body"))).withColumns(
+    return with_cuts(units.where(long_enough_for_fim(F.col("body"))), cut_draw).withColumns(
         {
-            "text": fim_text(F.col("body"), cut_draw),
+            "text": fim_text(),
             "instruction": F.lit(""),
             "output": F.lit(""),
             "source": F.col("file_path"),
             "category": F.lit("fim"),
         }
-    )
+    ).drop(*_CUT_COLUMNS)
 
 
 def format_instruction(units: DataFrame) -> DataFrame:
@@ -84,15 +91,15 @@ def format_instruction(units: DataFrame) -> DataFrame:
 def format_by_mode(units: DataFrame, is_fim: Column, cut_draw: Column) -> DataFrame:
     """Both formats in one projection, chosen per row; FIM units that are too short are dropped."""
     body = F.col("body")
-    return units.where(~is_fim | long_enough_for_fim(body)).withColumns(
+    return with_cuts(units.where(~is_fim | long_enough_for_fim(body)), cut_draw).withColumns(
         {
-            "text": F.when(is_fim, fim_text(body, cut_draw)).otherwise(""),
+            "text": F.when(is_fim, fim_text()).otherwise(""),
             "instruction": F.when(is_fim, "").otherwise(instruction_text()),
             "output": F.when(is_fim, "").otherwise(body),
             "source": F.col("file_path"),
             "category": F.when(is_fim, "fim").otherwise("instruction"),
         }
-    )
+    ).drop(*_CUT_COLUMNS)
 
 
 def prose_pairs(sections: DataFrame) -> DataFrame:

@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that was split into fewer pieces than there are cores.
+
+    Per-row text work is heavy enough to pay for moving such a (small) input; a large one is never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Example routing configuration: rules in order, and the model behind each alias.
 ROUTES = (
     Route(target="autocomplete", path="/v1/completions"),
@@ -158,19 +167,19 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(table(spark, sf_dir, "documents"), UNITS)
+    return _select(spread(table(spark, sf_dir, "documents")), UNITS)
 
 
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(table(spark, sf_dir, "documents"), SOURCE_FILES)
+    return _select(spread(table(spark, sf_dir, "documents")), SOURCE_FILES)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.expr(ARTICLE_HTML).alias("html"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", F.expr(ARTICLE_HTML).alias("html"))
 
 
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", F.expr(LINKED_HTML).alias("html"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", "url", F.expr(LINKED_HTML).alias("html"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
