@@ -96,17 +96,36 @@ def declarations(folded: Column) -> Column:
         code = F.transform(above, lambda l, k: F.when(~l.rlike(r"^(?://|/\*.*\*/\s*$)"), k))
         return F.slice(above, F.coalesce(F.array_max(code), F.lit(-1)) + 2, F.size(above))
 
-    def one(lines: Column, starts: Column, start: Column, i: Column) -> Column:
+    def since_previous(lines: Column, starts: Column, start: Column, i: Column) -> Column:
+        """The lines from the previous start, or the top, up to this one."""
+        previous = F.when(i > 0, F.get(starts, i - 1)).otherwise(F.lit(0))
+        return F.slice(lines, previous + 1, start - previous)
+
+    def folds_above(lines: Column, starts: Column) -> Column:
+        """Per start, how many line feeds are folded away above it."""
+        each = F.transform(
+            starts,
+            lambda s, i: bind(
+                F.array_join(since_previous(lines, starts, s, i), ""),
+                lambda t: F.char_length(t) - F.char_length(F.replace(t, F.lit(FOLD), F.lit(""))),
+            ),
+        )
+        return F.aggregate(
+            each,
+            F.array().cast("array<int>"),
+            lambda sums, n: F.concat(sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + n)),
+        )
+
+    def one(lines: Column, starts: Column, folds: Column, start: Column, i: Column) -> Column:
         end = F.coalesce(F.get(starts, i + 1), F.size(lines))
-        previous = F.when(i > 0, F.get(starts, i - 1)).otherwise(F.lit(-1))
-        above = F.slice(lines, previous + 2, start - previous - 1)
+        above = since_previous(lines, starts, start, i)
         chunk = F.array_join(F.slice(lines, start + 1, end - start), "\n")
 
         def unit(parts: Column) -> Column:
             declaration, doc_lines = parts["declaration"], parts["doc_lines"]
             comment = unfold(F.array_join(F.transform(doc_lines, lambda l: F.concat(l, F.lit("\n"))), ""))
             return F.struct(
-                (start + 1).cast("bigint").alias("line_number"),
+                (start + 1 + F.get(folds, i)).cast("bigint").alias("line_number"),
                 _doc_text(doc_lines).alias("doc"),
                 declaration.alias("declaration"),
                 F.concat(comment, declaration).alias("body"),
@@ -118,8 +137,12 @@ def declarations(folded: Column) -> Column:
         return bind(parts, unit)
 
     def all_of(lines: Column) -> Column:
-        return bind(
-            starts_of(lines), lambda starts: F.transform(starts, lambda s, i: one(lines, starts, s, i))
-        )
+        def with_starts(starts: Column) -> Column:
+            return bind(
+                folds_above(lines, starts),
+                lambda folds: F.transform(starts, lambda s, i: one(lines, starts, folds, s, i)),
+            )
+
+        return bind(starts_of(lines), with_starts)
 
     return bind(F.split(folded, "\n", -1), all_of)

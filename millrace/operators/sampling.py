@@ -54,15 +54,18 @@ def train_eval_split(df: DataFrame, keys: Sequence[str], split: float = 0.1) ->
         eval_size(F.sum("rows").over(Window.orderBy(F.lit(1)).rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing)), split).alias("wanted"),
     )
-    boundary = totals.where("before < wanted AND wanted <= upto").select(
-        F.struct("bucket", (F.col("wanted") - F.col("before")).alias("rank")).alias("b")
+    # One struct, so that both uses are the same subquery and run once.
+    boundary = (
+        totals.where("before < wanted AND wanted <= upto")
+        .select(F.struct("bucket", (F.col("wanted") - F.col("before")).alias("rank")).alias("b"))
+        .scalar()
     )
     ranked = (
         df.select("shuffle_draw", *keys)
-        .where(bucket == boundary.select("b.bucket").scalar())
+        .where(bucket == boundary["bucket"])
         .withColumn("_rank", F.row_number().over(Window.orderBy("shuffle_draw", *keys)))
     )
-    last = ranked.where(F.col("_rank") == boundary.select("b.rank").scalar()).select(position.alias("p"))
+    last = ranked.where(F.col("_rank") == boundary["rank"]).select(position.alias("p"))
     in_eval = F.coalesce(position <= last.scalar(), F.lit(False))
     return df.withColumn("split", F.when(in_eval, "eval").otherwise("train"))
 

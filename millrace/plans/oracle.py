@@ -236,19 +236,21 @@ flagged AS (
 numbered AS (
     SELECT *, max(CASE WHEN is_func THEN ln END) OVER (PARTITION BY path ORDER BY ln) AS start,
         coalesce(max(CASE WHEN NOT is_note THEN ln END) OVER (PARTITION BY path ORDER BY ln
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS last_code FROM flagged),
-starts AS (SELECT path, ln AS line_number, last_code, regexp_replace(line, '[ \\t]*//[^"]*$', '') AS head
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS last_code,
+        ln + coalesce(sum(length(line) - length(replace(line, chr(2), ''))) OVER (PARTITION BY path ORDER BY ln
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS true_ln FROM flagged),
+starts AS (SELECT path, ln AS line_number, true_ln, last_code, regexp_replace(line, '[ \\t]*//[^"]*$', '') AS head
     FROM numbered WHERE is_func),
 ends AS (
-    SELECT s.path, s.line_number, s.last_code, CASE WHEN regexp_matches(s.head, '[{{(,]$')
+    SELECT s.path, s.line_number, s.true_ln, s.last_code, CASE WHEN regexp_matches(s.head, '[{{(,]$')
         THEN (SELECT min(n.ln) FROM numbered n WHERE n.path = s.path AND n.start = s.line_number AND n.is_close)
         ELSE s.line_number END AS last_line FROM starts s),
 texts AS (
-    SELECT e.path, e.line_number,
+    SELECT e.path, CAST(e.true_ln AS BIGINT) AS line_number,
         string_agg(l.line, chr(10) ORDER BY l.ln) FILTER (l.ln >= e.line_number) AS declaration,
         coalesce(string_agg(l.line, chr(10) ORDER BY l.ln) FILTER (l.ln < e.line_number), '') AS note
     FROM ends e JOIN lines l ON l.path = e.path AND l.ln > e.last_code AND l.ln <= e.last_line
-    GROUP BY e.path, e.line_number),
+    GROUP BY e.path, e.line_number, e.true_ln),
 found AS (
     SELECT h.package, h.imports, t.path AS file_path, t.line_number,
         replace(CASE WHEN note = '' THEN '' ELSE note || chr(10) END || declaration, chr(2), chr(10)) AS body,
