@@ -56,10 +56,14 @@ def _character(code: Column) -> Column:
 
 
 def _numeric(ref: Column) -> Column:
-    digits = F.regexp_replace(ref, r"[#xX;]", "")
     is_hex = F.substring(ref, 2, 1).isin("x", "X")
-    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
-    return bind(code, _character)
+
+    def code(digits: Column) -> Column:
+        number = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        # No character has a longer number; conv and cast would fail on much longer ones.
+        return F.when(F.char_length(digits) <= 8, number)
+
+    return bind(bind(F.regexp_replace(ref, r"^#[xX]?0*(?=[0-9a-fA-F])|;$", ""), code), _character)
 
 
 def _decode_piece(piece: Column, in_attribute: bool) -> Column:

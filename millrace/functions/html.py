@@ -32,7 +32,7 @@ BLOCKS = (
 
 # Every pattern starts with a plain '<', so that text between tags is passed over quickly.
 _RAW = r"(?is)<(?:!--.*?(?:--!?>|\z)" + "".join(
-    rf"|{name}{_AFTER_NAME}(.*?)(?:</{name}[\s/>][^>]*>?|\z)" for name in RAW_TEXT
+    rf"|{name}{_AFTER_NAME}(.*?)(?:</{name}(?:>|[\s/][^>]*>?)|\z)" for name in RAW_TEXT
 ) + ")"
 _RAW_GROUPS = "".join(f"${i + 1}" for i in range(len(RAW_TEXT)))
 _PRE = rf"(?is)<pre{_AFTER_NAME}(.*?)(?:</pre\s*>|\z)"
