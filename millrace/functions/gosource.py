@@ -18,12 +18,12 @@ FOLD = "\x02"
 
 # Tokens that can hide line starts, or hide the start of such a token. Possessive loops do not recurse.
 _TOKENS = (
-    r"""(?s)(?=[`"'/])(?:`[^`]*+`|/\*.*?\*/|//[^\n]*+|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
+    r"""(?s)(?=[`"'/])(?:`[^`]*+`|/\*.*?(?:\*/|\z)|//[^\n]*+|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
 )
 
 
 def fold(source: Column) -> Column:
-    text = F.regexp_replace(unix_lines(source), r"[\x02\x03]", "")
+    text = F.regexp_replace(unix_lines(source), r"^\ufeff|[\x02\x03]", "")
     fenced = F.split(F.regexp_replace(text, _TOKENS, "\x03$0\x03"), "\x03", -1)
     pieces = F.transform(
         fenced, lambda s, i: F.when(i % 2 == 1, F.replace(s, F.lit("\n"), F.lit(FOLD))).otherwise(s)
@@ -63,7 +63,9 @@ def _declaration_text(chunk: Column) -> Column:
 
     def cut(code: Column) -> Column:
         close = F.regexp_instr(chunk, F.lit(r"(?m)^\}[ \t\r]*(?:/[/*].*)?$"))
-        to_brace = bind(close, lambda c: F.when(c > 0, F.substr(chunk, F.lit(1), c)).otherwise(code))
+        # Without canonical layout the last line that starts with a brace is the best guess.
+        other = F.coalesce(F.nullif(F.regexp_extract(chunk, r"(?s)\A.*\n[ \t]*\}", 0), F.lit("")), code)
+        to_brace = bind(close, lambda c: F.when(c > 0, F.substr(chunk, F.lit(1), c)).otherwise(other))
         return unfold(F.when(code.rlike(r"[{(\[,]$"), to_brace).otherwise(code))
 
     return bind(code_part(chunk), cut)

@@ -4,25 +4,26 @@ from millrace.operators.extract import code_units, drop_generated_files
 from millrace.sources.files import path_order, scan_code_files, select_code_files
 from pyspark.sql import functions as F
 
-SERVER = """package server
+QUEUE = """package queue
 
 import (
-	"context"
-	"fmt"
+	"errors"
+	"sync"
 )
 
-// HandleRequest processes an incoming request and returns an error
-// if validation fails.
-func (s *Server) HandleRequest(ctx context.Context, req *Request) error {
-	if err := s.validate(req); err != nil {
-		return fmt.Errorf("validation: %w", err)
+// Push adds an item at the end and fails
+// once the queue has been closed.
+func (q *Queue) Push(item any) error {
+	if q.closed {
+		return errors.New("closed")
 	}
+	q.items = append(q.items, item)
 	return nil
 }
 
-// NewServer creates a new Server with the given config.
-func NewServer(cfg Config) *Server {
-	return &Server{cfg: cfg}
+// WithRoom makes a queue for n items.
+func WithRoom(n int) *Queue {
+	return &Queue{items: make([]any, 0, n)}
 }
 """
 
@@ -99,22 +100,27 @@ def units(spark, *files, **options):
 
 
 def test_functions_and_methods(spark):
-    handle, new = units(spark, ("server.go", SERVER))
-    assert (handle["name"], handle["receiver"], handle["package"]) == ("HandleRequest", "*Server", "server")
-    assert handle["doc"] == "HandleRequest processes an incoming request and returns an error\nif validation fails."
-    assert handle["signature"] == "func (s *Server) HandleRequest(ctx context.Context, req *Request) error"
-    assert handle["imports"] == ["context", "fmt"] and handle["line_number"] == 10
-    assert handle["body"].startswith("// HandleRequest") and handle["body"].endswith("\treturn nil\n}")
-    assert (new["name"], new["receiver"], new["line_number"]) == ("NewServer", "", 18)
-    assert new["body"] == (
-        "// NewServer creates a new Server with the given config.\n"
-        "func NewServer(cfg Config) *Server {\n\treturn &Server{cfg: cfg}\n}"
+    push, with_room = units(spark, ("queue.go", QUEUE))
+    assert (push["name"], push["receiver"], push["package"]) == ("Push", "*Queue", "queue")
+    assert push["doc"] == "Push adds an item at the end and fails\nonce the queue has been closed."
+    assert push["signature"] == "func (q *Queue) Push(item any) error"
+    assert push["imports"] == ["errors", "sync"] and push["line_number"] == 10
+    assert push["body"].startswith("// Push adds") and push["body"].endswith("\treturn nil\n}")
+    assert (with_room["name"], with_room["receiver"], with_room["line_number"]) == ("WithRoom", "", 19)
+    assert with_room["body"] == (
+        "// WithRoom makes a queue for n items.\n"
+        "func WithRoom(n int) *Queue {\n\treturn &Queue{items: make([]any, 0, n)}\n}"
     )
 
 
 def test_signature_from_body_is_the_doc_line(spark):
-    handle, _ = units(spark, ("server.go", SERVER), signature_from_body=True)
-    assert handle["signature"] == "// HandleRequest processes an incoming request and returns an error"
+    push, _ = units(spark, ("queue.go", QUEUE), signature_from_body=True)
+    assert push["signature"] == "// Push adds an item at the end and fails"
+
+
+def test_other_layouts(spark):
+    odd = "\ufeffpackage p\nfunc A() {\n  if x {\n  }\n  }\nvar y = 1\n\nfunc B() {\n}\n/* open\nfunc C() {\n}\n"
+    assert [u["body"] for u in units(spark, ("o.go", odd))] == ["func A() {\n  if x {\n  }\n  }", "func B() {\n}"]
 
 
 def test_literals_comments_and_layouts(spark):
@@ -143,13 +149,13 @@ def test_long_literals_do_not_overflow_the_matcher(spark):
 
 
 def test_carriage_returns_and_plain_text(spark):
-    assert units(spark, ("s.go", SERVER.replace("\n", "\r\n")))[0]["body"] == units(spark, ("s.go", SERVER))[0]["body"]
+    assert units(spark, ("s.go", QUEUE.replace("\n", "\r\n")))[0]["body"] == units(spark, ("s.go", QUEUE))[0]["body"]
     assert units(spark, ("s.go", "func x() {\n}\n")) == []
 
 
 def test_generated_files(spark):
     rows = [
-        ("gen.pb.go", "// Code generated by protoc-gen-go. DO NOT EDIT.\npackage pb\n\nfunc Foo() {}\n"),
+        ("made.go", "// Code generated from a schema; DO NOT EDIT.\npackage m\n\nfunc M() {}\n"),
         ("late.go", "package p\n//" + "x" * 495 + "DO NOT EDIT\n"),
         ("edge.go", "package p\n//" + "x" * 489 + "DO NOT EDIT\n"),
         ("wide.go", "package p\n//" + "é" * 245 + "DO NOT EDIT\n"),

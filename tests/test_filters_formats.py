@@ -13,20 +13,20 @@ def frame(spark, rows, schema):
 
 def test_generated_units(spark):
     rows = [
-        ("protobuf", "// Code generated by protoc-gen-go. DO NOT EDIT.\nfunc Foo() {}"),
-        ("mockgen", "// Code generated by MockGen. DO NOT EDIT.\nfunc Foo() {}"),
-        ("normal", "// HandleRequest processes a request.\nfunc HandleRequest() {}"),
-        ("wire", "//go:generate wire\nfunc Foo() {}"),
+        ("stamp", "// Code generated from a schema.\nfunc A() {}"),
+        ("warning", "// Made by a tool: DO NOT EDIT\nfunc A() {}"),
+        ("plain", "// A is written by hand.\nfunc A() {}"),
+        ("directive", "//go:generate stringer\nfunc A() {}"),
     ]
     kept = filters.drop_generated_units(frame(spark, rows, "name string, body string")).collect()
-    assert [r.name for r in kept] == ["normal"]
+    assert [r.name for r in kept] == ["plain"]
 
 
-GOOD = "func Good() {\n\ta := 1\n\tb := 2\n\treturn a + b\n}"
+LOOP = "func Loop() {\n\tfor i := range 3 {\n\t\tprintln(i)\n\t}\n}"
 
 
 def test_min_lines(spark):
-    rows = [("func F() {}",), ("func F() {\n\ta := 1\n\tb := 2\n\tc := 3\n\treturn a + b + c\n}",)]
+    rows = [("func L() {}",), (LOOP,)]
     assert [r.body for r in filters.min_lines(frame(spark, rows, "body string"), 3).collect()] == [rows[1][0]]
 
 
@@ -50,17 +50,16 @@ def test_dedup_of_a_hot_body(spark):
 
 def test_filter_chain(spark):
     rows = [
-        ("Generated", "// Code generated by mockgen. DO NOT EDIT.\nfunc Generated() {}"),
-        ("Short", "func Short() {}"), ("Good", GOOD), ("Good", GOOD),
-        ("AlsoGood", "func AlsoGood() {\n\tx := 1\n\ty := 2\n\treturn x + y\n}"),
+        ("made", "// Code generated from a schema.\n" + LOOP), ("tiny", "func Tiny() {}"), ("loop", LOOP), ("loop", LOOP),
+        ("other", LOOP.replace("Loop", "Other")),
     ]
     units = frame(spark, [(n, b, "f.go", i) for i, (n, b) in enumerate(rows)],
                   "name string, body string, file_path string, line_number int")
-    assert sorted(r.name for r in filters.filter_all(units, 3).collect()) == ["AlsoGood", "Good"]
+    assert sorted(r.name for r in filters.filter_all(units, 3).collect()) == ["loop", "other"]
 
 
 def test_fim_parts_rebuild_the_body(spark):
-    bodies = ["func Add(a, b int) int {\n\treturn a + b\n}", "1234567890", "née sœur 😀 x", "short", "ééééé", "😀😀😀"]
+    bodies = ["func Twice(n int) int {\n\treturn 2 * n\n}", "1234567890", "née sœur 😀 x", "short", "ééééé", "😀😀😀"]
     units = frame(spark, [(i, b, "f.go") for i, b in enumerate(bodies * 20)], "id int, body string, file_path string")
     drawn = with_draws(units, 42, ("id",))
     rows = formats.format_fim(drawn, F.col("cut_draw")).collect()
@@ -77,11 +76,11 @@ def test_fim_parts_rebuild_the_body(spark):
 
 
 def test_instructions(spark):
-    rows = [("Add returns the sum.", "func Add(a, b int) int", "x", "f"), ("", "func Add(a, b int) int", "x", "f")]
+    rows = [("Twice doubles n.", "func Twice(n int) int", "x", "f"), ("", "func Twice(n int) int", "x", "f")]
     out = formats.format_instruction(frame(spark, rows, "doc string, signature string, body string, file_path string"))
     assert [r.instruction for r in out.collect()] == [
-        "Add returns the sum.\n\nSignature: func Add(a, b int) int",
-        "Implement the Go function: func Add(a, b int) int",
+        "Twice doubles n.\n\nSignature: func Twice(n int) int",
+        "Implement the Go function: func Twice(n int) int",
     ]
 
 

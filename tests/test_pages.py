@@ -83,18 +83,20 @@ def sections(spark, pages):
     return out
 
 
-ARTICLE = """<h2>Error Handling</h2>
-<p>In Go, errors are values. The idiomatic way to handle them is:</p>
-<pre><code>if err != nil {
-    return fmt.Errorf("operation failed: %w", err)
-}</code></pre>
-<p>Always wrap errors with context using fmt.Errorf.</p>"""
+ARTICLE = """<h2>Closing files</h2>
+<p>Close what you open, as soon as it is open:</p>
+<pre><code>f, err := os.Open(name)
+if err != nil {
+    return err
+}
+defer f.Close()</code></pre>
+<p>The deferred call runs last.</p>"""
 
 
 def test_article(spark):
     ((title, prose, code),) = sections(spark, [(1, ARTICLE)])[1]
-    assert title == "Error Handling" and prose.count("\n") == 1
-    assert code == ['if err != nil {\n    return fmt.Errorf("operation failed: %w", err)\n}']
+    assert title == "Closing files" and prose.count("\n") == 1
+    assert code == ["f, err := os.Open(name)\nif err != nil {\n    return err\n}\ndefer f.Close()"]
 
 
 HARD = [
@@ -184,15 +186,15 @@ def test_resolution_cases(spark, base, href, want):
 
 
 def test_links_of_an_index_page(spark):
-    html = """<a href="/posts/one">1</a><a href="/posts/two">2</a><a href="/posts/one">again</a>
-    <a href="three?a=1&amp;b=2">3</a><a href="https://other.example/x">no</a><a HREF='http://blog.example.evil/y'>yes</a>
+    html = """<a href="/notes/a">1</a><a href="/notes/b">2</a><a href="/notes/a">again</a>
+    <a href="three?a=1&amp;b=2">3</a><a href="https://other.example/x">no</a><a HREF='http://site.example.evil/y'>yes</a>
     <a name="x">none</a><a data-href="/no" title="href=/no">none</a><A class=k href=/bare>4</A><a href>self</a>
     <!-- <a href="/hidden"> --><script>'<a href="/js">'</script><abbr href="/no2"></abbr><a href="javascript:x()">js</a>"""
-    pages = spark.createDataFrame([(1, "http://blog.example/index", html)], "page_id int, url string, html string")
+    pages = spark.createDataFrame([(1, "http://site.example/index", html)], "page_id int, url string, html string")
     rows = feeds.discover_links(pages).orderBy("pos").collect()
     assert [r.link for r in rows] == [
-        "http://blog.example/posts/one", "http://blog.example/posts/two", "http://blog.example/three?a=1&b=2",
-        "http://blog.example.evil/y", "http://blog.example/bare", "http://blog.example/index",
+        "http://site.example/notes/a", "http://site.example/notes/b", "http://site.example/three?a=1&b=2",
+        "http://site.example.evil/y", "http://site.example/bare", "http://site.example/index",
     ]
     assert [r.pos for r in rows] == list(range(6))
 
@@ -200,13 +202,13 @@ def test_links_of_an_index_page(spark):
 def test_sitemaps(spark):
     good = """<?xml version="1.0" encoding="UTF-8"?>
 <urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">
-  <url><loc>https://example.com/page1</loc></url><url><lastmod>x</lastmod></url>
-  <url><loc>https://example.com/page2?a=1&amp;b=2</loc></url><url><loc></loc></url>
+  <url><loc>https://s.example/one</loc></url><url><lastmod>x</lastmod></url>
+  <url><loc>https://s.example/two?a=1&amp;b=2</loc></url><url><loc></loc></url>
 </urlset>"""
     rows = [("a", good), ("bad", "<urlset><url>"), ("text", "not xml"), ("empty", "<urlset></urlset>")]
     out = feeds.sitemap_urls(spark.createDataFrame(rows, "url string, body string")).orderBy("url", "pos").collect()
     assert [(r.url, r.pos, r.loc, r.error) for r in out] == [
-        ("a", 0, "https://example.com/page1", None), ("a", 1, "https://example.com/page2?a=1&b=2", None),
+        ("a", 0, "https://s.example/one", None), ("a", 1, "https://s.example/two?a=1&b=2", None),
         ("bad", 0, None, "parsing sitemap"), ("text", 0, None, "parsing sitemap"),
     ]
 

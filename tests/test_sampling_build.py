@@ -61,17 +61,20 @@ def test_validation_sample(spark):
 
 MAIN = """package main
 
-import "fmt"
-
-// Hello greets the named person.
-func Hello(name string) string {
-	return fmt.Sprintf("Hello, %s!", name)
+import "os"
+
+// Lookup reads a setting or gives the fallback.
+func Lookup(name, fallback string) string {
+	if v, ok := os.LookupEnv(name); ok {
+		return v
+	}
+	return fallback
 }
 
-// Add returns the sum.
-func Add(a, b int) int {
-	sum := a + b
-	return sum
+// Clamp keeps n within bounds.
+func Clamp(n, low, high int) int {
+	n = max(n, low)
+	return min(n, high)
 }
 """
 
@@ -117,7 +120,7 @@ def test_empty_build(spark, fresh_dir):
 
 
 def test_build_does_not_depend_on_partitions(spark):
-    tree = [(f"d{i % 7}/f{i}.go", MAIN.replace("Hello", f"Hello{i}").replace("Add", f"Add{i % 40}")) for i in range(200)]
+    tree = [(f"d{i % 7}/f{i}.go", MAIN.replace("Lookup(", f"Lookup{i}(").replace("Clamp(", f"Clamp{i % 40}(")) for i in range(200)]
     frame = spark.createDataFrame(tree, "path string, src string")
     results = []
     for n in (1, 8):
