@@ -83,10 +83,26 @@ def _decode_piece(piece: Column, in_attribute: bool) -> Column:
     return F.coalesce(full, bare, F.concat(F.lit("&"), text))
 
 
+# The commonest references. '&' and '<' stay masked until the rest is decoded.
+_COMMON = {"&amp;": "\x05", "&lt;": "\x04", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0"}
+_MASKED = {"\x05": "&", "\x04": "<"}
+
+
+def _swap(text: Column, pairs: dict[str, str]) -> Column:
+    for old, new in pairs.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def mask(text: Column) -> Column:
+    """Keep '&' and '<' from being read as markup; `decode_entities` brings them back."""
+    return _swap(text, {new: old for old, new in _MASKED.items()})
+
+
 def decode_entities(text: Column, in_attribute: bool = False) -> Column:
-    """Replace character references."""
+    """Replace character references, and unmask."""
     pieces = F.transform(
-        F.split(text, "&", -1),
+        F.split(_swap(text, _COMMON), "&", -1),
         lambda s, i: F.when(i == 0, s).otherwise(
             bind(
                 F.struct(s.alias("text"), F.regexp_extract(s, _REFERENCE, 1).alias("ref")),
@@ -94,4 +110,4 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
             )
         ),
     )
-    return F.array_join(pieces, "")
+    return _swap(F.array_join(pieces, ""), _MASKED)

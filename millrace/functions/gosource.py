@@ -11,20 +11,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.let import bind
-from millrace.functions.text import trim_space, unix_lines
+from millrace.functions.text import trim_space, unix_lines, without
 
 #: Stands for a line feed inside a raw string or block comment.
 FOLD = "\x02"
+_FENCE = "\x03"
 
-# Tokens that can hide line starts, or hide the start of such a token. Possessive loops do not recurse.
+# A run of plain text, then a token that can hide line starts or the start of such a token: raw string,
+# block comment, line comment, string, rune, or a lone delimiter. Every match moves on, and possessive
+# loops do not recurse, so the time is linear and long literals are safe.
 _TOKENS = (
-    r"""(?s)(?=[`"'/])(?:`[^`]*+`|/\*.*?(?:\*/|\z)|//[^\n]*+|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')"""
+    r"""(?s)([^`"'/]*+)(`[^`]*+`|/\*.*?(?:\*/|\z)|//[^\n]*+|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|[`"'/]|\z)"""
 )
 
 
 def fold(source: Column) -> Column:
-    text = F.regexp_replace(unix_lines(source), r"^\ufeff|[\x02\x03]", "")
-    fenced = F.split(F.regexp_replace(text, _TOKENS, "\x03$0\x03"), "\x03", -1)
+    text = F.ltrim(without(unix_lines(source), FOLD + _FENCE), F.lit("\ufeff"))
+    fenced = F.split(F.regexp_replace(text, _TOKENS, f"$1{_FENCE}$2{_FENCE}"), _FENCE, -1)
     pieces = F.transform(
         fenced, lambda s, i: F.when(i % 2 == 1, F.replace(s, F.lit("\n"), F.lit(FOLD))).otherwise(s)
     )
@@ -66,7 +69,7 @@ def _declaration_text(chunk: Column) -> Column:
         # Without canonical layout the last line that starts with a brace is the best guess.
         other = F.coalesce(F.nullif(F.regexp_extract(chunk, r"(?s)\A.*\n[ \t]*\}", 0), F.lit("")), code)
         to_brace = bind(close, lambda c: F.when(c > 0, F.substr(chunk, F.lit(1), c)).otherwise(other))
-        return unfold(F.when(code.rlike(r"[{(\[,]$"), to_brace).otherwise(code))
+        return F.when(code.rlike(r"[{(\[,]$"), to_brace).otherwise(code)
 
     return bind(code_part(chunk), cut)
 
@@ -83,68 +86,72 @@ def _doc_text(doc_lines: Column) -> Column:
     return trim_space(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
+def _is_comment(line: Column) -> Column:
+    return line.startswith("//") | (line.startswith("/*") & F.rtrim(line).endswith("*/"))
+
+
+def _comments_at_end(rest: Column, first: Column) -> Column:
+    """The comment lines directly above what follows `rest`, leaving out the `first` lines."""
+    # What follows starts a line, so the last piece is empty.
+    lines = bind(F.split(rest, "\n", -1), lambda l: F.slice(l, first + 1, F.size(l) - 1 - first))
+
+    def last_run(lines: Column) -> Column:
+        code = F.transform(lines, lambda l, k: F.when(~_is_comment(l), k))
+        return F.slice(lines, F.coalesce(F.array_max(code), F.lit(-1)) + 2, F.size(lines))
+
+    return F.when(F.contains(rest, F.lit("\n")), bind(lines, last_run)).otherwise(F.array().cast("array<string>"))
+
+
 def declarations(folded: Column) -> Column:
     """Array of (line_number, doc, declaration, body), one per line that starts a function.
 
-    A declaration is sought up to the next one; its doc are the comment lines directly above. All texts
-    are made here, per file, so that filters on the rows exploded from this array compute nothing again.
+    The file is cut before each such line. Of a piece, the declaration is what its layout says; the
+    comment lines at its end are the doc of the next one. All texts are made here, per file, so that
+    filters on the rows exploded from this array compute nothing again.
     """
-
-    def starts_of(lines: Column) -> Column:
-        marked = F.transform(lines, lambda l, i: F.when(l.startswith("func "), i))
-        return F.filter(marked, lambda i: i.isNotNull())
-
-    def comments_at_end(above: Column) -> Column:
-        code = F.transform(above, lambda l, k: F.when(~l.rlike(r"^(?://|/\*.*\*/\s*$)"), k))
-        return F.slice(above, F.coalesce(F.array_max(code), F.lit(-1)) + 2, F.size(above))
-
-    def since_previous(lines: Column, starts: Column, start: Column, i: Column) -> Column:
-        """The lines from the previous start, or the top, up to this one."""
-        previous = F.when(i > 0, F.get(starts, i - 1)).otherwise(F.lit(0))
-        return F.slice(lines, previous + 1, start - previous)
-
-    def folds_above(lines: Column, starts: Column) -> Column:
-        """Per start, how many line feeds are folded away above it."""
-        each = F.transform(
-            starts,
-            lambda s, i: bind(
-                F.array_join(since_previous(lines, starts, s, i), ""),
-                lambda t: F.char_length(t) - F.char_length(F.replace(t, F.lit(FOLD), F.lit(""))),
+    chunks = F.split(F.replace(folded, F.lit("\nfunc "), F.lit(f"\n{_FENCE}func ")), _FENCE, -1)
+
+    def piece(chunk: Column, i: Column) -> Column:
+        own = F.when(i > 0, _declaration_text(chunk)).otherwise("")
+        # Behind a declaration the first piece of a line still belongs to it.
+        tail = F.when(i > 0, 1).otherwise(0)
+        return bind(
+            own,
+            lambda d: F.struct(
+                d.alias("declaration"),
+                _comments_at_end(F.substr(chunk, F.char_length(d) + 1), tail).alias("comments"),
+                (F.octet_length(chunk) - F.octet_length(without(chunk, "\n" + FOLD))).alias("feeds"),
             ),
         )
+
+    def lines_above(pieces: Column) -> Column:
         return F.aggregate(
-            each,
+            pieces,
             F.array().cast("array<int>"),
-            lambda sums, n: F.concat(sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + n)),
+            lambda sums, p: F.concat(
+                sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + p["feeds"])
+            ),
         )
 
-    def one(lines: Column, starts: Column, folds: Column, start: Column, i: Column) -> Column:
-        end = F.coalesce(F.get(starts, i + 1), F.size(lines))
-        above = since_previous(lines, starts, start, i)
-        chunk = F.array_join(F.slice(lines, start + 1, end - start), "\n")
-
-        def unit(parts: Column) -> Column:
-            declaration, doc_lines = parts["declaration"], parts["doc_lines"]
-            comment = unfold(F.array_join(F.transform(doc_lines, lambda l: F.concat(l, F.lit("\n"))), ""))
-            return F.struct(
-                (start + 1 + F.get(folds, i)).cast("bigint").alias("line_number"),
-                _doc_text(doc_lines).alias("doc"),
-                declaration.alias("declaration"),
-                F.concat(comment, declaration).alias("body"),
-            )
-
-        parts = F.struct(
-            bind(chunk, _declaration_text).alias("declaration"), bind(above, comments_at_end).alias("doc_lines")
+    def unit(piece: Column, comments: Column, above: Column) -> Column:
+        documented = F.size(comments) > 0
+        body = F.when(
+            documented, F.concat(F.array_join(comments, "\n"), F.lit("\n"), piece["declaration"])
+        ).otherwise(piece["declaration"])
+        return F.struct(
+            (above + 1).cast("bigint").alias("line_number"),
+            F.when(documented, _doc_text(comments)).otherwise("").alias("doc"),
+            unfold(piece["declaration"]).alias("declaration"),
+            unfold(body).alias("body"),
         )
-        return bind(parts, unit)
 
-    def all_of(lines: Column) -> Column:
-        def with_starts(starts: Column) -> Column:
-            return bind(
-                folds_above(lines, starts),
-                lambda folds: F.transform(starts, lambda s, i: one(lines, starts, folds, s, i)),
-            )
-
-        return bind(starts_of(lines), with_starts)
+    def all_of(pieces: Column) -> Column:
+        return bind(
+            lines_above(pieces),
+            lambda above: F.transform(
+                F.slice(pieces, 2, F.size(pieces)),
+                lambda p, i: unit(p, F.get(pieces, i)["comments"], F.get(above, i)),
+            ),
+        )
 
-    return bind(F.split(folded, "\n", -1), all_of)
+    return bind(F.transform(chunks, piece), all_of)

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.entities import decode_entities
-from millrace.functions.text import unix_lines
+from millrace.functions.entities import decode_entities, mask
+from millrace.functions.text import unix_lines, without
 
 # The rest of a tag: quoted attribute values may hold '>'. Possessive loops run without recursion.
 _REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
@@ -44,12 +44,6 @@ _ANCHOR = r"""(?is)<a[\s/]((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 _ATTRIBUTE = r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 
 
-def _swap(text: Column, characters: dict[str, str]) -> Column:
-    for old, new in characters.items():
-        text = F.replace(text, F.lit(old), F.lit(new))
-    return text
-
-
 def _fenced(text: Column, protect) -> Column:
     """Apply `protect` to every second \\x02-separated piece."""
     pieces = F.transform(
@@ -60,9 +54,9 @@ def _fenced(text: Column, protect) -> Column:
 
 def protect_raw_text(html: Column) -> Column:
     """Drop comments and the tags of raw-text elements; keep that text safe from later passes."""
-    clean = F.regexp_replace(unix_lines(html), r"[\x01-\x05]", "")
+    clean = without(unix_lines(html), "\x01\x02\x03\x04\x05")
     fenced = F.regexp_replace(clean, _RAW, f"\x02{_RAW_GROUPS}\x02")
-    return _fenced(fenced, lambda s: _swap(s, {"<": "\x04", "&": "\x05"}))
+    return _fenced(fenced, mask)
 
 
 def strip_tags(html: Column) -> Column:
@@ -75,7 +69,7 @@ def mark_blocks(html: Column) -> Column:
     text = _fenced(fenced, lambda s: F.concat(F.lit("\x01C"), strip_tags(s), F.lit("\x01X")))
     for pattern, marker in ((_HEADING, "H"), (_PARAGRAPH, "P"), (_BLOCK, "X")):
         text = F.regexp_replace(text, pattern, f"\x01{marker}")
-    return _swap(decode_entities(strip_tags(text)), {"\x04": "<", "\x05": "&"})
+    return decode_entities(strip_tags(text))
 
 
 def anchor_hrefs(html: Column) -> Column:
@@ -89,7 +83,6 @@ def anchor_hrefs(html: Column) -> Column:
         return F.filter(named, lambda v: v.isNotNull())
 
     def plain(value: Column) -> Column:
-        unquoted = F.regexp_replace(value, r"""^["']|["']$""", "")
-        return _swap(decode_entities(unquoted, in_attribute=True), {"\x04": "<", "\x05": "&"})
+        return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""), in_attribute=True)
 
     return F.transform(F.flatten(F.transform(tags, hrefs)), plain)

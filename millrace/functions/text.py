@@ -41,3 +41,10 @@ def first_line(text: Column) -> Column:
 def unix_lines(text: Column) -> Column:
     """CR LF and lone CR become LF."""
     return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+
+
+def without(text: Column, characters: str) -> Column:
+    """Remove single characters; strings that have none pass uncopied."""
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
