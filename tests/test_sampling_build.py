@@ -196,6 +196,19 @@ def test_catalog(spark):
     assert [r.is_local for r in rows] == [False, False, True, False]
 
 
+def test_sources_file(spark, fresh_dir):
+    text = {
+        "repos": [{"url": "https://h/a", "path": "src/", "weight": 1.5, "branch": "x"}, {"dir": "/local"}],
+        "articles": [{"url": "https://h/blog/", "type": "blog_index", "weight": 2}, {"path": "l.txt", "type": "url_list"}],
+        "other": 1,
+    }
+    with open(fresh_dir + "/sources.json", "w") as f:
+        json.dump(text, f, indent=1)
+    repos, articles = catalog.read_sources(spark, fresh_dir)
+    assert [tuple(r) for r in repos.collect()] == [("https://h/a", "", "src/", 1.5), ("", "/local", "", 0.0)]
+    assert [tuple(r) for r in articles.collect()] == [("https://h/blog/", "", "blog_index"), ("", "l.txt", "url_list")]
+
+
 def test_prompts(spark, fresh_dir):
     documents = {
         "a.json": {"category": "errors", "weight": 0.2, "extra": 1, "prompts": [
