@@ -96,24 +96,25 @@ ORACLE["discover_links"] = f"WITH {_LINKS} SELECT page_id, pos, link FROM links"
 
 ORACLE["article_dispatch"] = f"""
 WITH {_LINKS},
-maps AS ({_SITEMAPS}),
+sources AS (SELECT page_id, url, {views.SOURCE_TYPE} AS type FROM pages),
+maps AS (SELECT m.*, type FROM ({_SITEMAPS}) m JOIN sources USING (page_id)),
 lists AS (
-    SELECT page_id, url, unnest([0, 1]) AS pos,
-           unnest([url, CASE WHEN contains(url, '/en/') THEN url ELSE url || '/gone' END]) AS link FROM pages),
-failing AS (SELECT page_id FROM lists WHERE link NOT IN (SELECT url FROM pages)),
+    SELECT page_id, unnest([0, 1]) AS pos,
+           unnest([url, CASE WHEN contains(url, '/en/') THEN url ELSE url || '/gone' END]) AS link
+    FROM sources WHERE type = 'url_list'),
+missing AS (SELECT * FROM lists WHERE link NOT IN (SELECT url FROM pages)),
 wanted AS (
-    SELECT page_id, 0 AS pos, url AS link FROM pages WHERE page_id % 6 = 0
-    UNION ALL SELECT page_id, pos, link FROM lists WHERE page_id % 6 = 1 AND page_id NOT IN (SELECT * FROM failing)
-    UNION ALL SELECT page_id, pos, link FROM links WHERE page_id % 6 = 2
-    UNION ALL SELECT page_id, unnest(range(len(locs))), unnest(locs) FROM maps WHERE page_id % 6 = 4 AND NOT broken)
+    SELECT page_id, 0 AS pos, url AS link FROM sources WHERE type = 'single_page'
+    UNION ALL SELECT page_id, pos, link FROM lists WHERE page_id NOT IN (SELECT page_id FROM missing)
+    UNION ALL SELECT page_id, pos, link FROM links JOIN sources USING (page_id) WHERE type = 'blog_index'
+    UNION ALL SELECT page_id, unnest(range(len(locs))), unnest(locs) FROM maps WHERE type = 'sitemap' AND NOT broken)
 SELECT w.page_id AS source_id, CAST(w.pos AS BIGINT) AS pos, w.link AS url, l.html AS content,
        CAST(NULL AS VARCHAR) AS error
 FROM wanted w JOIN linked l ON l.url = w.link
-UNION ALL SELECT page_id, 0, url, html, NULL FROM linked WHERE page_id % 6 = 3
-UNION ALL SELECT page_id, 0, NULL, NULL, 'parsing sitemap' FROM maps WHERE page_id % 6 = 4 AND broken
-UNION ALL SELECT page_id, pos, link, NULL, 'fetching ' || link FROM lists
-    WHERE page_id % 6 = 1 AND link NOT IN (SELECT url FROM pages)
-UNION ALL SELECT page_id, 0, url, NULL, 'unsupported article type: feed' FROM pages WHERE page_id % 6 = 5"""
+UNION ALL SELECT page_id, 0, l.url, html, NULL FROM linked l JOIN sources USING (page_id) WHERE type = 'markdown_repo'
+UNION ALL SELECT page_id, 0, NULL, NULL, 'parsing sitemap' FROM maps WHERE type = 'sitemap' AND broken
+UNION ALL SELECT page_id, pos, link, NULL, 'fetching ' || link FROM missing
+UNION ALL SELECT page_id, 0, url, NULL, 'unsupported article type: feed' FROM sources WHERE type = 'feed'"""
 
 # ---- sampling and formats on documents as units
 

@@ -115,14 +115,13 @@ def discover_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def article_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page is also a source; its last digit picks the type."""
+    """Each page is also a source of one of the types, or of an unknown one."""
     pages = views.linked_pages(spark, sf_dir)
     sources = pages.selectExpr(
         "page_id AS source_id",
         "url",
         "'list-' || page_id AS path",
-        "CASE page_id % 6 WHEN 0 THEN 'single_page' WHEN 1 THEN 'url_list' WHEN 2 THEN 'blog_index' "
-        "WHEN 3 THEN 'markdown_repo' WHEN 4 THEN 'sitemap' ELSE 'feed' END AS type",
+        f"{views.SOURCE_TYPE} AS type",
     )
     lists = pages.selectExpr(
         "'list-' || page_id AS path",

@@ -140,6 +140,12 @@ LINKED_HTML = (
     "</ul>')"
 )
 
+# pages as article sources of every type.
+SOURCE_TYPE = (
+    "CASE WHEN md5(url) < '3' THEN 'single_page' WHEN md5(url) < '6' THEN 'url_list' WHEN md5(url) < '9' THEN "
+    "'blog_index' WHEN md5(url) < 'b' THEN 'markdown_repo' WHEN md5(url) < 'e' THEN 'sitemap' ELSE 'feed' END"
+)
+
 # events as logged requests.
 REQUESTS = {
     "event_id": "event_id",
