@@ -5,9 +5,8 @@ from check import database, difference
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+from millrace.plans.oracle import ORACLE
+from millrace.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +16,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
