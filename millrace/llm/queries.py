@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import near, quality
+from millrace.llm import near, private, quality
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_private_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = private.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.withColumnRenamed("_n_entities", "n_entities")
