@@ -36,4 +36,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN bad ON f.source = bad.source
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY}
+URLS = r"""
+WITH rules(rule, verdict) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'),
+                                     ('net/es/', 'block'), ('net/fr/', 'block')),
+parts AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (SELECT row_number() OVER () AS r, page_id,
+                 translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+fits AS (SELECT r, rule, verdict FROM split JOIN rules
+         ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+         AND starts_with(path, substr(rule, strpos(rule, '/')))),
+best AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fits GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN best USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op9_url_cascade": URLS}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import near, private, quality
+from millrace.llm import near, private, quality, urls
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,19 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_private_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = private.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.withColumnRenamed("_n_entities", "n_entities")
+
+
+#: `host/path` rules of the URL query.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+@query
+def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "rule string, verdict string")
+    return urls.url_verdicts(table(spark, sf_dir, "pages"), rules)
