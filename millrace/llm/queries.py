@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import near, private, quality, urls
+from millrace.llm import mix, near, private, quality, urls
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ URL_RULES = (
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "rule string, verdict string")
     return urls.url_verdicts(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.taken_words(table(spark, sf_dir, "documents"))
