@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mix, near, private, quality, repeats, urls
+from millrace.llm import fingerprints, mix, near, private, quality, repeats, urls
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbours_compared(table(spark, sf_dir, "documents"))
