@@ -47,22 +47,36 @@ _DDL = (
 )
 
 
-def parse(data: bytes, known: set[int], at: int = 0) -> int:
-    """Go on with the parse: `known` holds the phrases' hashes, `at` the hash of the open phrase, 0 for none."""
-    for c in data:
-        grown = (at * 1000003 + c + 1) & _MASK
-        if grown in known:
-            at = grown
-        else:
-            known.add(grown)
-            at = 0
-    return at
-
-
-def sketch(known: set[int]) -> np.ndarray:
+class Phrases:
+    """The dictionary of a parse as a trie, and the hash of each phrase."""
+
+    __slots__ = ("children", "hashes", "at")
+
+    def __init__(self, other: Phrases | None = None):
+        self.children: dict[int, int] = dict(other.children) if other else {}
+        self.hashes: list[int] = list(other.hashes) if other else [0]
+        self.at = other.at if other else 0
+
+    def parse(self, data: bytes) -> Phrases:
+        """Go on with the parse; `at` is the phrase that is still growing, 0 for none."""
+        children, hashes, at = self.children, self.hashes, self.at
+        get = children.get
+        for c in data:
+            step = at << 8 | c
+            at = get(step, 0)
+            if not at:
+                children[step] = len(hashes)
+                hashes.append((hashes[step >> 8] * 1000003 + c + 1) & _MASK)
+        self.at = at
+        return self
+
+
+def sketch(phrases: Phrases) -> np.ndarray:
     """The smallest hashes, ascending, 32 bits each."""
-    hashed = np.unique(mix(np.fromiter(known, np.uint64, len(known))) >> np.uint64(32))
-    return hashed[:SIZE].astype(np.uint32)
+    hashed = mix(np.array(phrases.hashes[1:], np.uint64)) >> np.uint64(32)
+    if len(hashed) > 4 * SIZE:
+        hashed = np.partition(hashed, 2 * SIZE)[: 2 * SIZE]
+    return np.unique(hashed)[:SIZE].astype(np.uint32)
 
 
 def written(smallest: np.ndarray) -> str:
@@ -77,9 +91,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprint(text: str | None) -> str:
-    known: set[int] = set()
-    parse((text or "").encode("utf-8", "surrogatepass"), known)
-    return written(sketch(known))
+    return written(sketch(Phrases().parse((text or "").encode("utf-8", "surrogatepass"))))
 
 
 class _Parsed:
@@ -88,17 +100,13 @@ class _Parsed:
     def __init__(self, doc_id: int | None, text: str):
         self.doc_id, self.text = doc_id, text
         self.middle = len(text) - len(text) // 2
-        self.known: set[int] = set()
-        self.at = parse(text[: self.middle].encode("utf-8", "surrogatepass"), self.known)
-        whole = set(self.known)
-        parse(text[self.middle :].encode("utf-8", "surrogatepass"), whole, self.at)
-        self.sketch = sketch(whole)
+        self.half = Phrases().parse(text[: self.middle].encode("utf-8", "surrogatepass"))
+        self.sketch = sketch(Phrases(self.half).parse(text[self.middle :].encode("utf-8", "surrogatepass")))
 
     def row(self, neighbour: _Parsed) -> tuple:
         beginning = neighbour.text[: len(self.text) // 2]
         edited = (self.text[: self.middle] + beginning).encode("utf-8", "surrogatepass")
-        parse(beginning.encode("utf-8", "surrogatepass"), self.known, self.at)
-        other = sketch(self.known)
+        other = sketch(self.half.parse(beginning.encode("utf-8", "surrogatepass")))
         return (
             self.doc_id, len(self.text), hashlib.sha256(edited).hexdigest(), written(self.sketch), written(other),
             likeness(self.sketch, other), likeness(self.sketch, neighbour.sketch),
