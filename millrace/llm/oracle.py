@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from millrace.llm.licences import TEMPLATES, template_bigrams
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 QUALITY = rf"""
@@ -50,4 +52,26 @@ best AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN best USING (r)
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op9_url_cascade": URLS}
+_TEMPLATES = ", ".join(
+    f"({i}, '{name}', [{', '.join(repr(g) for g in template_bigrams(text))}])" for i, (name, text) in enumerate(TEMPLATES)
+)
+
+LICENCES = rf"""
+WITH templates(i, licence, grams) AS (VALUES {_TEMPLATES}),
+texts AS (SELECT row_number() OVER () AS r, doc_id,
+                 regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS t FROM documents),
+lines AS (
+  SELECT r, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS line, unnest(string_split(t, chr(10))) AS u FROM texts
+  UNION ALL SELECT r, 0, replace(t, chr(10), ' ') FROM texts WHERE contains(t, chr(10))),
+units AS (SELECT r, line, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS g
+          FROM (SELECT r, line, regexp_extract_all(u, '[^ ]+') AS w FROM lines)),
+scored AS (SELECT r, line, i, licence, 2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+           FROM units JOIN templates ON list_has_any(g, grams)),
+best AS (SELECT r, line, arg_max(licence, dice - i / 1e6) AS licence, max(dice) AS dice FROM scored WHERE dice >= 0.8 - 1e-9 GROUP BY r, line),
+found AS (SELECT r, count(*) AS n_found, arg_min(licence, line) AS licence, arg_min(dice, line)::DOUBLE AS dice,
+                 string_agg(line || ':' || licence, ',' ORDER BY line) AS lines FROM best GROUP BY r)
+SELECT doc_id, coalesce(n_found, 0)::BIGINT AS n_found, found.licence AS licence, coalesce(lines, '') AS lines, dice
+FROM texts LEFT JOIN found USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op8_licence_scan": LICENCES, "op9_url_cascade": URLS}

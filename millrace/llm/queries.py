@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, mix, near, private, quality, repeats, urls
+from millrace.llm import fingerprints, licences, mix, near, private, quality, repeats, urls
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,10 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbours_compared(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.licence_scan(table(spark, sf_dir, "documents"))
+    lines = F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["line"].cast("string"), x["licence"])), ",")
+    return found.select("doc_id", "n_found", "licence", lines.alias("lines"), F.get("found", F.lit(0))["dice"].alias("dice"))
