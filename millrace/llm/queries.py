@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, licences, mix, near, private, quality, repeats, urls
+from millrace.llm import fingerprints, licences, mix, near, pieces, private, quality, repeats, toxicity, urls
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,9 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     QUERIES[f.__name__] = f
     return f
 
+#: A public SentencePiece model; its path is a parameter, the file is not part of the library.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,3 +74,15 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.licence_scan(table(spark, sf_dir, "documents"))
     lines = F.array_join(F.transform("found", lambda x: F.concat_ws(":", x["line"].cast("string"), x["licence"])), ",")
     return found.select("doc_id", "n_found", "licence", lines.alias("lines"), F.get("found", F.lit(0))["dice"].alias("dice"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.scored(docs, model)
+
+
+@query
+def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), pieces.Pieces.read(PIECE_MODEL))
