@@ -1 +1,69 @@
-"""The corpus pipeline: documents in, encoded training blocks out."""
+"""The corpus pipeline: documents in, encoded training blocks out.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
+one's `docs`. All but the last return the columns of `documents`:
+
+1. `quality_rules`: documents that fail the base rules, or whose host fails as a whole, go.
+2. `near_dedup`: of each group of near copies the document with the smallest id stays.
+3. `private_surrogates`: personal data and secrets are replaced; `n_chars` is counted anew.
+4. `source_mix`: blocks drawn to the target weights become the documents; ids are slot numbers.
+5. `piece_encoding`: blocks become piece ids.
+
+Defined results of the odd cases (NULLs, empty texts, repeated rows, empty tables) are those of the operators.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm.mix import mixed_documents
+from millrace.llm.near import near_filter
+from millrace.llm.pieces import Pieces, encoded
+from millrace.llm.private import private_filter
+from millrace.llm.quality import quality_filter
+from millrace.llm.queries import PIECE_MODEL
+from millrace.llm.words import table
+from millrace.sources.scratch import written_table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_filter(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_filter(docs)
+
+
+def private_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return private_filter(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encoded(docs, Pieces.read(PIECE_MODEL))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("private_surrogates", private_surrogates),
+    ("source_mix", source_mix),
+    ("piece_encoding", piece_encoding),
+]
+
+#: The stages hash, draw and fold beyond what SQL expresses; tests compare them with plain versions.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

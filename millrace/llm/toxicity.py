@@ -1,12 +1,13 @@
 """Toxicity by multiple-instance learning: a document is toxic if one of its sentences is.
 
-A sentence's probability is logistic in its distinct words; a document's is the noisy-or of its sentences,
+A sentence's probability is logistic in its distinct words and beginnings of words (stems are inflected); a document's is the noisy-or of its sentences,
 `1 - prod(1 - p)`. Only documents are labelled, so the words' weights are fitted to document labels through the noisy-or
 (full-batch Adam on the exact gradient). The weights then score all documents, and locate the sentences that
 made the score.
 
-Fitting uses a sample of at most `MAX_TRAIN` labelled rows (the smallest hashes of the id; a documented bound),
-whose sentences come to the driver as numbers, of the `MAX_WORDS` words that tell labels apart best. Scoring is one pass in
+Fitting uses a sample of at most `MAX_TRAIN` labelled rows (the smallest hashes of the id; a documented bound).
+Spark counts its features by label and keeps the `MAX_WORDS` that tell labels apart best (chi-square); only their numbers
+in the sentences of the sample come to the driver. Scoring is one pass in
 Arrow batches without a shuffle; the model it carries holds `MAX_WORDS` weights at most.
 
 Defined results: NULL and empty texts have no sentence and score 0. Without labelled documents of both kinds
@@ -16,10 +17,11 @@ Scores are functions of the text, so repeated rows score alike; other columns ar
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources.scratch import written_table
+
 MAX_TRAIN = 12_000
 MAX_WORDS = 1_000
 STEPS = 300
@@ -34,47 +38,85 @@ STEPS = 300
 LEAST_DOCS = 4
 THRESHOLD = 0.5
 _START_BIAS = -6.0
-_DECAY = 2e-5
+_DECAY = 1e-4
+#: Lengths of the beginnings of longer words that are features, too.
+STEMS = range(3, 9)
 
 _sentences = re.compile(r"[^.!?\n]+").finditer
 _words = re.compile(r"[^\W\d_]+").findall
 
 
+def features_of(word: str) -> list[str]:
+    return [word, *[f"{word[:k]}*" for k in STEMS if k < len(word)]]
+
+
+class _Known(dict):
+    """The model's features of each word met; forgets all when it has met `limit` words."""
+
+    def __init__(self, held: dict, limit: int = 200_000):
+        self.held, self.limit = held, limit
+
+    def __missing__(self, word: str) -> tuple:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self[word] = tuple(self.held[f] for f in features_of(word) if f in self.held)
+        return found
+
+
 @dataclass(frozen=True)
 class Model:
     bias: float = _START_BIAS
     weights: dict[str, float] = field(default_factory=dict)
 
-    def sentence(self, text: str) -> float | None:
-        """Probability of one sentence; None without words."""
-        words = _words(text.lower())
-        if not words:
-            return None
-        z = self.bias + sum(map(self.weights.__getitem__, self.weights.keys() & set(words)))
-        return float(1 / (1 + np.exp(-max(-60.0, min(60.0, z)))))
-
-    def score(self, text: str | None) -> tuple[float, int, list[dict]]:
-        """Noisy-or, number of sentences, and the offending sentences by position (in characters)."""
-        clean, n, found = 0.0, 0, []
-        for m in _sentences(text or ""):
-            p = self.sentence(m[0])
-            if p is None:
-                continue
-            n += 1
-            clean += np.log1p(-min(p, 1 - 1e-12))
-            if p >= THRESHOLD:
-                found.append({"start": m.start(), "end": m.end(), "score": p})
-        return float(-np.expm1(clean)), n, found
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each sentence of the training documents."""
+    def scorer(self) -> Callable[[str | None], tuple[float, int, list[dict]]]:
+        """Of a text: noisy-or, number of sentences, and the offending sentences by position (in characters)."""
+        known = _Known({f: (f, w) for f, w in self.weights.items()})
+        chance = lambda z: 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
+        plain = chance(self.bias)
+
+        def score(text: str | None) -> tuple[float, int, list[dict]]:
+            clean, n, found = 0.0, 0, []
+            for m in _sentences(text or ""):
+                words = _words(m[0].lower())
+                if not words:
+                    continue
+                n += 1
+                hits = {x for w in words for x in known[w]}
+                p = chance(self.bias + math.fsum(w for _, w in hits)) if hits else plain
+                clean += math.log1p(-min(p, 1 - 1e-12))
+                if p >= THRESHOLD:
+                    found.append({"start": m.start(), "end": m.end(), "score": p})
+            return -math.expm1(clean), n, found
+
+        return score
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents and toxic documents of each feature, summed by batch."""
     for batch in batches:
-        rows = []
-        for text in batch.column(1):
-            sentences = [sorted(set(_words(m[0].lower()))) for m in _sentences(text.as_py() or "")]
-            rows.append([s for s in sentences if s])
-        yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.list_(pa.string())))], names=["toxic", "sentences"])
+        seen, toxic = Counter(), Counter()
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = {f for w in set(_words((text.as_py() or "").lower())) for f in features_of(w)}
+            seen.update(found)
+            if label > 0:
+                toxic.update(found)
+        names = list(seen)
+        columns = [pa.array(names, pa.string()), pa.array([seen[f] for f in names], pa.int64()), pa.array([toxic[f] for f in names], pa.int64())]
+        yield pa.record_batch(columns, names=["feature", "n", "t"])
+
+
+def _numbered(names: list[str]):
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Numbers of the features in each sentence of the training documents."""
+        known = _Known({f: i for i, f in enumerate(names)})
+        for batch in batches:
+            rows = []
+            for text in batch.column(1):
+                each = (_words(m[0].lower()) for m in _sentences(text.as_py() or ""))
+                rows.append([sorted({x for w in words for x in known[w]}) for words in each if words])
+            yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.list_(pa.int32())))], names=["toxic", "sentences"])
+
+    return number
 
 
 def remainder(doc_id: Column) -> Column:
@@ -90,39 +132,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) ->
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("toxic").cast("int"), "text")
 
 
-def _telling(documents: list[tuple[int, list[list[str]]]]) -> list[str]:
-    """Words whose documents differ most in label, by the chi-square statistic."""
-    seen, toxic = Counter(), Counter()
-    for label, sentences in documents:
-        words = {w for s in sentences for w in s}
-        seen.update(words)
-        if label:
-            toxic.update(words)
-    n, t = len(documents), sum(label for label, _ in documents)
-
-    def gain(w: str) -> float:
-        expected = seen[w] * t / n
-        return (toxic[w] - expected) ** 2 / max(expected * (1 - t / n) * (1 - seen[w] / n), 1e-9)
-
-    often = [w for w, c in seen.items() if c >= LEAST_DOCS]
-    return sorted(often, key=lambda w: (-gain(w), w))[:MAX_WORDS]
+def telling_features(rows: DataFrame, n: int, t: int) -> list[str]:
+    """Features whose documents differ most in label, by the chi-square statistic, among `n` documents with `t` toxic ones."""
+    counts = rows.mapInArrow(_count, "feature string, n bigint, t bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    expected = F.col("n") * F.lit(t / n)
+    gain = F.pow(F.col("t") - expected, F.lit(2)) / F.greatest(expected * F.lit(1 - t / n) * (1 - F.col("n") / F.lit(n)), F.lit(1e-9))
+    best = counts.where(F.col("n") >= LEAST_DOCS).orderBy(F.round(gain, 6).desc(), "feature").limit(MAX_WORDS)
+    return [r["feature"] for r in best.select("feature").collect()]
 
 
 def fit(rows: DataFrame) -> Model:
     """Fit to `toxic, text` rows, whose number is bounded by the caller."""
-    featured = rows.mapInArrow(_features, "toxic int, sentences array<array<string>>").toArrow()
+    rows = written_table(rows, "toxicity-sample")
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") > 0).alias("t")).first()
+    if not 0 < sums["t"] < sums["n"]:
+        return Model()
+    words = telling_features(rows, sums["n"], sums["t"])
+    featured = rows.mapInArrow(_numbered(words), "toxic int, sentences array<array<int>>").toArrow()
     documents = sorted(zip((int(x > 0) for x in featured.column("toxic").to_pylist()), featured.column("sentences").to_pylist()))
     y = np.array([label for label, _ in documents], np.float64)
-    if not len(y) or y.min() == y.max():
-        return Model()
-    words = _telling(documents)
-    place = {w: i for i, w in enumerate(words)}
     owner, sentence, word = [], [], []
     for d, (_, sentences) in enumerate(documents):
         for s in sentences:
-            hits = [place[w] for w in s if w in place]
-            word += hits
-            sentence += [len(owner)] * len(hits)
+            word += s
+            sentence += [len(owner)] * len(s)
             owner.append(d)
     owner, sentence, word = (np.array(x, np.int64) for x in (owner, sentence, word))
     w, moments, rate = np.append(np.zeros(len(words)), _START_BIAS), np.zeros((2, len(words) + 1)), 0.1
@@ -151,10 +184,11 @@ _SCORED_DDL = (
 
 def _score(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = model.scorer()
         for batch in batches:
             out: dict[str, list] = {name: [] for name in _SCORED.names}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                value, n, found = model.score(text.as_py())
+                value, n, found = of(text.as_py())
                 held = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
                 for name, x in zip(_SCORED.names, (doc_id, held, value, int(value >= THRESHOLD), n, found)):
                     out[name].append(x)
