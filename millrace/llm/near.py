@@ -6,8 +6,8 @@
 2. Equal texts form a class; the rest works on one representative per class, the smallest doc_id.
 3. A band bucket does not list its pairs. Its most central member (the one whose buckets are largest in
    sum) is compared with the others. Where that leaves members of one bucket in different components,
-   the members outside the centre's component are compared with the bucket in blocks of packed
-   signatures; a task sees two blocks at a time, and only pairs that pass the bit-count estimate leave it.
+   the members outside the centre's component are compared with the bucket in blocks of signatures and
+   shingle hashes; a task sees two blocks at a time, and only links that join components leave it.
 4. The estimate from bit counts, corrected for chance agreement of two bits (E = J + (1 - J) / 4), drops
    pairs more than five standard errors below the threshold, and sizes drop those that cannot reach it.
    All others are confirmed on the full shingle sets.
@@ -152,17 +152,42 @@ def plausible(threshold: int) -> Column:
     return fits & (estimate("ca", "cb") >= threshold / 100 - SLACK)
 
 
-_BLOCK_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _shingle_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in batches:
+        arrays = [shingle_hashes(near_words(t.as_py()), hashes).view(np.int64) for t in batch.column(1)]
+        yield pa.record_batch([batch.column(0), pa.array(arrays, pa.list_(pa.int64()))], names=["rep", "shingles"])
+
+
+def common(x: list[np.ndarray], y: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of all intersections of the sets `x` with the sets `y`, as products of incidence matrices, in strips."""
+    values, place = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    row = np.repeat(np.arange(len(x) + len(y)), [len(a) for a in (*x, *y)])
+    order = np.argsort(place, kind="stable")
+    place, row = place[order], row[order]
+    total = np.zeros((len(x), len(y)), np.float64)
+    for lo in range(0, len(values), columns):
+        i, j = np.searchsorted(place, [lo, lo + columns])
+        strip = np.zeros((len(x) + len(y), columns), np.float32)
+        strip[row[i:j], place[i:j] - lo] = 1
+        total += strip[: len(x)] @ strip[len(x) :].T
+    return total.astype(np.int64)
+
+
+_BLOCK_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _compare_blocks(threshold: int):
+    """Of two blocks of a bucket, enough links to join the components that they link."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def arrays(block: list[dict]) -> list[np.ndarray]:
-            return [np.array([x[k] for x in block], np.int64) for k in ("rep", "label", "n", "s0", "s1", "s2", "s3")]
+            return [np.array([x[k] for x in block], np.int64) for k in ("rep", "label", "n", "s0", "s1", "s2", "s3", "bands")]
 
         for batch in batches:
-            for row in batch.to_pylist():
-                x, y = arrays(row["left"]), arrays(row["right"])
+            a, b = [], []
+            for r in range(batch.num_rows):
+                bucket, left, right = (batch.column(c)[r].as_py() for c in range(3))
+                x, y = arrays(left), arrays(right)
                 differ = sum(
                     np.bitwise_count((x[3 + i][:, None] ^ y[3 + i]) | (x[5 + i][:, None] ^ y[5 + i])).astype(np.int32)
                     for i in (0, 1)
@@ -170,9 +195,28 @@ def _compare_blocks(threshold: int):
                 near = ((1 - differ / HASHES) - 0.25) / 0.75 >= threshold / 100 - SLACK
                 n, m = x[2][:, None], y[2][None, :]
                 near &= (100 * np.minimum(n, m) >= threshold * np.maximum(n, m)) & (x[1][:, None] != y[1])
-                i, j = np.nonzero(near)
-                a, b = x[0][i], y[0][j]
-                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=_BLOCK_PAIRS)
+                # A pair that meets in several bands is compared in the first of them.
+                band = int(np.flatnonzero(x[7][0] == bucket)[0])
+                near &= ~(x[7][:, None, :band] == y[7][None, :, :band]).any(axis=2)
+                i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+                if not len(i):
+                    continue
+                both = common([np.array(left[k]["shingles"], np.int64) for k in i], [np.array(right[k]["shingles"], np.int64) for k in j])
+                linked = near[np.ix_(i, j)] & (100 * both >= threshold * (n[i] + m[:, j] - both))
+                root: dict[int, int] = {}
+
+                def of(label: int) -> int:
+                    while (up := root.get(label, label)) != label:
+                        label = up
+                    return label
+
+                for p, q in zip(*np.nonzero(linked)):
+                    u, v = of(int(x[1][i[p]])), of(int(y[1][j[q]]))
+                    if u != v:
+                        root[max(u, v)] = min(u, v)
+                        a.append(min(x[0][i[p]], y[0][j[q]]))
+                        b.append(max(x[0][i[p]], y[0][j[q]]))
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_BLOCK_LINKS)
 
     return compare
 
@@ -264,20 +308,23 @@ def near_links(docs: DataFrame, classes: DataFrame, threshold: int, doc_id: str
     placed = placed.withColumn("apart", F.col("label") != F.coalesce("centre_label", "centre"))
     placed = written_table(placed.select("bucket", "rep", "size", "label", "apart"), "near-placed")
     split = placed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    cell = F.struct("rep", "label", "n", "s0", "s1", "s2", "s3").alias("cell")
-    open_members = placed.join(split.select("bucket"), "bucket").join(cells, "rep").select("bucket", "size", "apart", cell)
-    pieces = F.ceil(F.col("size") / F.lit(BLOCK))
+    open_members = written_table(placed.join(split.select("bucket"), "bucket"), "near-open")
+    who = written_table(open_members.select("rep").distinct(), "near-who")
+    sets = texts.withColumnRenamed("id", "rep").join(small_side(who), "rep", "left_semi")
+    sets = written_table(sets.mapInArrow(_shingle_arrays, "rep bigint, shingles array<bigint>"), "near-sets")
+    cell = F.struct("rep", "label", "n", "s0", "s1", "s2", "s3", "bands", "shingles").alias("cell")
+    known = open_members.join(classes.select("rep", "n", "s0", "s1", "s2", "s3", "bands"), "rep").join(sets, "rep")
     blocks = (
-        open_members.withColumn("block", F.pmod(F.xxhash64("cell.rep"), pieces))
+        known.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / F.lit(BLOCK))))
         .groupBy("bucket", "apart", "block")
-        .agg(F.collect_list("cell").alias("cells"))
+        .agg(F.collect_list(cell).alias("cells"))
     )
     blocks = written_table(blocks, "near-blocks")
     left = blocks.where("apart").select("bucket", F.col("block").alias("lb"), F.col("cells").alias("left"))
     right = blocks.select("bucket", F.col("block").alias("rb"), "apart", F.col("cells").alias("right"))
-    met = left.join(right, "bucket").where("NOT apart OR lb <= rb").select("left", "right")
-    more = met.mapInArrow(_compare_blocks(threshold), "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
-    return links.union(confirmed(written_table(more, "near-more")))
+    met = left.join(right, "bucket").where("NOT apart OR lb <= rb").select("bucket", "left", "right")
+    more = met.mapInArrow(_compare_blocks(threshold), "a bigint, b bigint")
+    return links.union(written_table(more.distinct(), "near-more"))
 
 
 def near_components(docs: DataFrame, threshold: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
