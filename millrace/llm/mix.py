@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.let import bind
 from millrace.llm.words import small_side
 from millrace.sources.scratch import written_table
 
@@ -43,10 +44,10 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def sizes(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """`_id, _source, _size, _order` and the `keep` columns of each row, written once."""
+    """`_id, _source, _size, _order, _tie` and the `keep` columns of each row."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     # The order spreads over the hash range, whatever the ids look like.
-    rows = docs.select(
+    return docs.select(
         F.col(doc_id).alias("_id"),
         F.col(source).alias("_source"),
         F.regexp_count(body, F.lit(_WORD)).cast("bigint").alias("_size"),
@@ -54,7 +55,6 @@ def sizes(docs: DataFrame, keep: list[str], doc_id: str = "doc_id", source: str
         F.xxhash64(body).alias("_tie"),
         *[F.col(c).alias(f"_kept_{c}") for c in keep],
     )
-    return written_table(rows, "mix-sizes")
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def slots(sources: DataFrame) -> DataFrame:
 
 def taken_words(docs: DataFrame, **columns: str) -> DataFrame:
     """`doc_id, size, source_size, target, taken` of each row."""
-    sized = sizes(docs, [], **columns)
+    sized = written_table(sizes(docs, [], **columns), "mix-sizes")
     sources = targets(sized)
     # Rows have no key of their own; their place in the order is one, and it is written with them.
     rows = written_table(placed(sized, sources), "mix-placed")
@@ -177,12 +177,22 @@ def mixed_blocks(docs: DataFrame, doc_id: str = "doc_id", source: str = "source"
 
     A block's text is the text of its words with the white space that follows each; documents are parted by an empty line.
     """
-    sized = sizes(docs, [text], doc_id, source, text)
-    sources = targets(sized)
-    cut = pieces(placed(sized, sources))
+    # Targets need sizes only; texts move twice, to their place in the source and to their blocks.
+    sources = targets(written_table(sizes(docs, [], doc_id, source, text), "mix-sizes"))
+    rows = placed(sizes(docs, [text], doc_id, source, text), sources).where("_size > 0")
     tokens = F.regexp_extract_all(F.col(f"_kept_{text}"), F.lit(_WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    part = F.array_join(F.slice(tokens, (F.col("_from") + 1).cast("int"), F.col("_n").cast("int")), "")
-    cut = cut.select("rank", "block", F.struct("_offset", "_id", part.alias("t")).alias("p"))
+    begin, end = F.col("_offset"), F.col("_offset") + F.col("_size")
+
+    def part(t: Column, b: Column) -> Column:
+        start, stop = F.greatest(b * BLOCK, begin) - begin, F.least((b + 1) * BLOCK, end) - begin
+        words = F.slice(t, (start + 1).cast("int"), (stop - start).cast("int"))
+        return F.struct(b.alias("block"), F.array_join(words, "").alias("t"))
+
+    # A text is cut into words once, before its parts become rows.
+    numbers = F.sequence(F.floor(begin / BLOCK), F.floor((end - 1) / BLOCK))
+    parts = bind(tokens, lambda t: F.transform(numbers, lambda b: part(t, b)))
+    cut = rows.select("rank", "_offset", "_id", F.explode(parts).alias("x"))
+    cut = cut.select("rank", "x.block", F.struct("_offset", "_id", "x.t").alias("p"))
     blocks = cut.groupBy("rank", "block").agg(F.sort_array(F.collect_list("p")).alias("p"))
     blocks = blocks.select("rank", "block", F.col("p._id").alias("doc_ids"), F.array_join("p.t", "\n\n").alias("text"))
     named = small_side(sources.select("rank", F.col("_source").alias("source")))
