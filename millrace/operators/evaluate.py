@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.jsontext import parse_whole
-from millrace.operators.joins import join_hot_keys
 
 # Score weights, the margin of a verdict, and the judged criteria.
 COMPILES_SCORE = 0.4
@@ -37,14 +36,14 @@ def eval_summary(results: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def eval_compare(baseline: DataFrame, candidate: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def eval_compare(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     """One verdict per candidate row (`prompt_id`, `score`, `position`) whose prompt the baseline has.
 
     Of repeated baseline prompts the last one, by `position`, counts. Sorting a verdict's rows by
     `position` gives its list in candidate order.
     """
     base = baseline.groupBy("prompt_id").agg(F.max_by("score", "position").alias("baseline_score"))
-    joined = join_hot_keys(candidate.select("prompt_id", "position", "score"), base, "prompt_id", "inner", hot_rows)
+    joined = candidate.select("prompt_id", "position", "score").join(base, "prompt_id")
     verdict = (
         F.when(F.col("score") > F.col("baseline_score") + MARGIN, "improved")
         .when(F.col("score") < F.col("baseline_score") - MARGIN, "regressed")
@@ -53,9 +52,9 @@ def eval_compare(baseline: DataFrame, candidate: DataFrame, hot_rows: int = 1_00
     return joined.withColumn("verdict", verdict)
 
 
-def compare_summary(baseline: DataFrame, candidate: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def compare_summary(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     """One row: score delta of the two runs and the number of prompts per verdict."""
-    verdicts = eval_compare(baseline, candidate, hot_rows).agg(
+    verdicts = eval_compare(baseline, candidate).agg(
         *[F.count_if(F.col("verdict") == v).alias(v) for v in ("improved", "regressed", "unchanged")]
     )
     delta = candidate.agg(F.avg("score")).scalar() - baseline.agg(F.avg("score")).scalar()

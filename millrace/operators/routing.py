@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.jsontext import parse_whole
-from millrace.operators.joins import join_hot_keys
 
 
 class Route(NamedTuple):
@@ -51,14 +50,13 @@ def route_requests(requests: DataFrame, rules: Sequence[Route], aliases: Mapping
     return requests.withColumn("resolved", resolve_model(rules, aliases, F.col("requested"), F.col("path")))
 
 
-def route_requests_by_table(
-    requests: DataFrame, rules: DataFrame, aliases: DataFrame, hot_rows: int = 1_000_000
-) -> DataFrame:
+def route_requests_by_table(requests: DataFrame, rules: DataFrame, aliases: DataFrame) -> DataFrame:
     """The same for rules kept as a table of any size (`rule_no`, `path`, `model`, `is_default`, `target`).
 
     Every pattern is an equality once the request text is cut to the pattern's length, so the match is an
     equi-join on (kind, text): one probe per distinct pattern length, never rules times requests. Routing
-    depends on (model, path) alone, so only distinct pairs are matched.
+    depends on (model, path) alone, so only distinct pairs are matched. Each pair is probed once per distinct pattern length, so
+    the work grows with the number of lengths (at most that of the longest pattern), not of rules.
     """
     kind = (
         F.when(F.col("path") != "", "path").when(F.col("model").endswith("*"), "prefix")
@@ -102,7 +100,7 @@ def route_requests_by_table(
         ).alias("_probe"),
     )
     matched = (
-        join_hot_keys(probes, first, "_probe", "left", hot_rows)
+        probes.join(first, "_probe", "left")
         .groupBy("requested", "path")
         .agg(F.min_by("_served", "rule_no").alias("_served"))
         .select(
@@ -111,7 +109,7 @@ def route_requests_by_table(
         )
     )
     keyed = requests.withColumn("_pair", F.struct("requested", "path"))
-    return join_hot_keys(keyed, matched, "_pair", "left", hot_rows).drop("_pair")
+    return keyed.join(matched, "_pair", "left").drop("_pair")
 
 
 def route_log_model(log: DataFrame, rules: Sequence[Route], aliases: Mapping[str, str]) -> DataFrame:

@@ -113,8 +113,8 @@ SELECT w.page_id AS source_id, CAST(w.pos AS BIGINT) AS pos, w.link AS url, l.ht
 FROM wanted w JOIN linked l ON l.url = w.link
 UNION ALL SELECT page_id, 0, l.url, html, NULL FROM linked l JOIN sources USING (page_id) WHERE type = 'markdown_repo'
 UNION ALL SELECT page_id, 0, NULL, NULL, 'parsing sitemap' FROM maps WHERE type = 'sitemap' AND broken
-UNION ALL SELECT page_id, pos, link, NULL, 'fetching ' || link FROM missing
-UNION ALL SELECT page_id, 0, url, NULL, 'unsupported article type: feed' FROM sources WHERE type = 'feed'"""
+UNION ALL SELECT page_id, pos, link, NULL, 'no page at ' || link FROM missing
+UNION ALL SELECT page_id, 0, url, NULL, 'no such kind of source: feed' FROM sources WHERE type = 'feed'"""
 
 # ---- sampling and formats on documents as units
 

@@ -18,28 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that was split into fewer pieces than there are cores.
-
-    Per-row text work is heavy enough to pay for moving such a (small) input; a large one is never moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-# Example routing configuration: rules in order, and the model behind each alias.
+# Rules over the requests of `events`: one of each kind (path, exact model, model prefix, default), two that
+# both fit some requests, and one whose alias nobody serves.
 ROUTES = (
-    Route(target="autocomplete", path="/v1/completions"),
-    Route(target="codegen", model="go-*"),
-    Route(target="reasoning", model="reason"),
-    Route(target="frontier", model="frontier"),
-    Route(target="codegen", default=True),
+    Route(target="audit", model="other"),
+    Route(target="batch", model="go-1*"),
+    Route(target="inline", path="/v1/comp"),
+    Route(target="nobody", model="reason"),
+    Route(target="batch", model="go-*"),
+    Route(target="desk", default=True),
 )
 ALIASES = {
-    "autocomplete": "fill-small",
-    "codegen": "code-tuned",
-    "reasoning": "think-large",
-    "frontier": "hosted-large",
+    "audit": "ledger-3",
+    "batch": "night-7",
+    "desk": "counter-2",
+    "inline": "cursor-1",
 }
 
 # documents as units. German bodies open with a marker; Spanish ones hold one near byte 512.
@@ -173,19 +166,19 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(spread(table(spark, sf_dir, "documents")), UNITS)
+    return _select(table(spark, sf_dir, "documents"), UNITS)
 
 
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(spread(table(spark, sf_dir, "documents")), SOURCE_FILES)
+    return _select(table(spark, sf_dir, "documents"), SOURCE_FILES)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages")).select("page_id", F.expr(ARTICLE_HTML).alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.expr(ARTICLE_HTML).alias("html"))
 
 
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages")).select("page_id", "url", F.expr(LINKED_HTML).alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.expr(LINKED_HTML).alias("html"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

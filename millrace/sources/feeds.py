@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.html import anchor_hrefs
 from millrace.functions.urls import base_url, resolve_url
-from millrace.operators.joins import join_hot_keys
 from millrace.sources.scratch import written_table
 
 
@@ -56,14 +55,14 @@ def article_dispatch(
     url_lists: DataFrame,
     sitemaps: DataFrame,
     markdown: DataFrame,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """The pages of every article source, by the source's `type`.
 
     Inputs: catalog (`source_id`, `url`, `path`, `type`), pages (`url`, `html`), url_lists (`path`,
     `pos`, `url`), sitemaps (`url`, `body`), markdown (`repo_url`, `pos`, `content`); the url of a page
     or sitemap is unique. Output: `source_id`, `pos`, `url`, `content`, `error`. A missing page is
-    skipped under an index or sitemap; it fails a single page or a whole URL list.
+    skipped under an index or sitemap; it fails a single page or a whole URL list. A list or repository
+    without any row counts as absent; every source gives at least an error row or what it has.
     """
     by_type = {
         t: catalog.where(F.col("type") == t)
@@ -79,39 +78,38 @@ def article_dispatch(
             (F.lit(None) if error is None else error).cast("string").alias("error"),
         )
 
+    absent_source = lambda what, c: F.concat(F.lit(f"no {what} at "), F.coalesce(c, F.lit("")))
     single = wanted(by_type["single_page"], F.lit(0), F.col("url"), True)
-    listed = wanted(
-        join_hot_keys(url_lists, by_type["url_list"].select("source_id", "path"), "path", "inner", hot_rows),
-        F.col("pos"), F.col("url"), True,
-    )
-    indexed = join_hot_keys(by_type["blog_index"].select("source_id", "url"), pages, "url", "left", hot_rows)
-    missing_index = wanted(
-        indexed.where("html IS NULL"), F.lit(0), F.col("url"), True, F.concat(F.lit("fetching "), F.col("url"))
-    )
+    by_list = by_type["url_list"].select("source_id", "path")
+    listed = wanted(url_lists.join(by_list, "path"), F.col("pos"), F.col("url"), True)
+    unlisted = by_list.join(url_lists.select("path").distinct(), "path", "left_anti")
+    missing_list = wanted(unlisted, F.lit(0), F.col("path"), True, absent_source("address list", F.col("path")))
+    indexed = by_type["blog_index"].select("source_id", "url").join(pages, "url", "left")
+    missing_index = wanted(indexed.where("html IS NULL"), F.lit(0), F.col("url"), True, absent_source("page", F.col("url")))
     links = discover_links(indexed.where("html IS NOT NULL").select("source_id", "url", "html"))
     discovered = wanted(links, F.col("pos"), F.col("link"), False)
-    mapped = join_hot_keys(
-        by_type["sitemap"].select("source_id", F.concat("url", F.lit("/sitemap.xml")).alias("url")),
-        sitemaps, "url", "left", hot_rows,
-    )
-    missing_map = wanted(
-        mapped.where("body IS NULL"), F.lit(0), F.col("url"), True, F.concat(F.lit("fetching "), F.col("url"))
-    )
+    maps = by_type["sitemap"].select("source_id", F.concat("url", F.lit("/sitemap.xml")).alias("url"))
+    mapped = maps.join(sitemaps, "url", "left")
+    missing_map = wanted(mapped.where("body IS NULL"), F.lit(0), F.col("url"), True, absent_source("page", F.col("url")))
     entries = sitemap_urls(mapped.where("body IS NOT NULL").select("source_id", "url", "body"))
     sitemap_pages = wanted(
         entries.select("source_id", "pos", F.col("loc").alias("url"), "error"),
         F.col("pos"), F.col("url"), False, F.col("error"),
     )
+    repos = by_type["markdown_repo"].select("source_id", F.col("url").alias("repo_url"))
+    unread = repos.join(markdown.select("repo_url").distinct(), "repo_url", "left_anti")
+    missing_repo = wanted(unread, F.lit(0), F.col("repo_url"), True, absent_source("documents", F.col("repo_url")))
     requests = single.unionByName(listed).unionByName(discovered).unionByName(sitemap_pages)
     requests = requests.unionByName(missing_index).unionByName(missing_map)
+    requests = requests.unionByName(missing_list).unionByName(missing_repo)
     # Addresses only, but from a deep plan: written once, read by each of the steps below.
     requests = written_table(requests, "page-requests")
 
     addresses = pages.select("url", F.lit(True).alias("found"))
     absent = (
-        join_hot_keys(requests.where("required AND error IS NULL"), addresses, "url", "left", hot_rows)
+        requests.where("required AND error IS NULL").join(addresses, "url", "left")
         .where("found IS NULL")
-        .withColumn("error", F.concat(F.lit("fetching "), F.col("url")))
+        .withColumn("error", absent_source("page", F.col("url")))
     )
     columns = ("source_id", "pos", "url", "error")
     failures = (
@@ -122,14 +120,11 @@ def article_dispatch(
     )
     failures = written_table(failures, "failed-sources")
     # Failing sources go first, so that page texts are joined once and only where they are kept.
-    good = join_hot_keys(
-        requests.where("error IS NULL").select("source_id", "pos", "url"),
-        failures.select("source_id"), "source_id", "left_anti", hot_rows,
-    )
-    contents = join_hot_keys(good, pages.select("url", F.col("html").alias("content")), "url", "inner", hot_rows)
-    repos = by_type["markdown_repo"].select("source_id", F.col("url").alias("repo_url"))
-    documents = join_hot_keys(markdown, repos, "repo_url", "inner", hot_rows)
-    unknown = catalog.where(~F.col("type").isin(*by_type))
+    good = requests.where("error IS NULL").select("source_id", "pos", "url")
+    good = good.join(failures.select("source_id"), "source_id", "left_anti")
+    contents = good.join(pages.select("url", F.col("html").alias("content")), "url")
+    documents = markdown.join(repos, "repo_url")
+    unknown = catalog.where(~F.coalesce("type", F.lit("")).isin(*by_type))
     none = F.lit(None).cast("string")
     return (
         contents.select("source_id", "pos", "url", "content", none.alias("error"))
@@ -141,7 +136,7 @@ def article_dispatch(
                 F.lit(0).cast("bigint").alias("pos"),
                 "url",
                 none.alias("content"),
-                F.concat(F.lit("unsupported article type: "), F.col("type")).alias("error"),
+                F.concat(F.lit("no such kind of source: "), F.coalesce("type", F.lit(""))).alias("error"),
             )
         )
     )

@@ -34,11 +34,31 @@ def _whole_files(spark: SparkSession, root: str, extension: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{extension}")
     )
-    # File URIs are percent-encoded; '+' is literal in them.
+    roots = _qualified_roots(spark, root)
+    # File URIs are percent-encoded; '+' is literal in them. Scheme and host are not part of the path.
     plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    base = root.rstrip("/").split("://")[-1].removeprefix("file:")
-    relative = F.regexp_replace(F.substr(plain, F.locate(base + "/", plain) + F.length(F.lit(base))), "^/", "")
-    return reader.load(root).select(relative.alias("path"), F.col("value").alias("src"))
+    plain = F.regexp_replace(plain, "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+    relative = F.raise_error(F.concat(F.lit("file outside the scanned folder: "), plain))
+    # The longest root that fits is tried first.
+    for r in sorted(roots, key=len):
+        below = r.rstrip("/") + "/"
+        relative = F.when(plain.startswith(below), F.substr(plain, F.lit(len(below) + 1))).otherwise(relative)
+    return reader.load(list(roots.values())).select(relative.alias("path"), F.col("value").alias("src"))
+
+
+def _qualified_roots(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folders that `root` names (relative, with `.`, `..`, doubled slashes, or a glob): plain path -> full address."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(system.makeQualified(path)) or []
+    roots = {}
+    for status in found:
+        uri = status.getPath().toUri().normalize()
+        address = status.getPath().toString()[: -len(status.getPath().toUri().getPath())] + uri.getPath()
+        roots[uri.getPath()] = address
+    if not roots:
+        raise FileNotFoundError(root)
+    return roots
 
 
 def scan_code_files(spark: SparkSession, root: str, extension: str = ".go") -> DataFrame:

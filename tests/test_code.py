@@ -1,5 +1,8 @@
 """Code files to units."""
 
+import os
+
+import pytest
 from millrace.operators.extract import code_units, drop_generated_files
 from millrace.sources.files import path_order, scan_code_files, select_code_files
 from pyspark.sql import functions as F
@@ -181,3 +184,16 @@ def test_scan(spark, fresh_dir):
     assert {r.path: r.src for r in rows} == {r.path: tree[r.path] for r in rows}
     landed = spark.createDataFrame(list(tree.items()), "path string, src string")
     assert {r.path for r in select_code_files(landed).collect()} == {r.path for r in rows}
+
+
+def test_paths_from_any_root(spark, fresh_dir):
+    root = f"{fresh_dir}/vendor/proj/code"
+    for name in ("a.go", "x/b.go"):
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write("package p\n")
+    doubled = root.replace("/proj/", "//proj/")
+    for r in (root, root + "/", f"{root}/x/..", f"{root}/./", doubled, f"file://{root}", f"{fresh_dir}/vendor/p*/code"):
+        assert sorted(x.path for x in scan_code_files(spark, r).collect()) == ["a.go", "x/b.go"], r
+    with pytest.raises(FileNotFoundError):
+        scan_code_files(spark, f"{root}/none")

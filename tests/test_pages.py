@@ -213,8 +213,7 @@ def test_sitemaps(spark):
     ]
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
-def test_article_sources(spark, hot_rows):
+def test_article_sources(spark):
     def frame(rows, schema):
         return spark.createDataFrame(rows, schema)
 
@@ -223,7 +222,8 @@ def test_article_sources(spark, hot_rows):
          (3, "", "good.txt", "url_list"), (4, "", "bad.txt", "url_list"), (5, "http://a.example/", "", "blog_index"),
          (6, "http://none.example/", "", "blog_index"), (7, "http://a.example", "", "sitemap"),
          (8, "http://b.example", "", "sitemap"), (9, "repo", "", "markdown_repo"), (10, "x", "", "podcast"),
-         (11, "http://c.example", "", "sitemap")],
+         (11, "http://c.example", "", "sitemap"), (12, "", "lost.txt", "url_list"),
+         (13, "lost", "", "markdown_repo"), (14, "y", "", None), (15, None, "", "podcast")],
         "source_id int, url string, path string, type string",
     )
     index = '<a href="/one">1</a><a href="/gone">2</a><a href="/two">3</a>'
@@ -236,18 +236,20 @@ def test_article_sources(spark, hot_rows):
                        "<urlset><url><loc>http://a.example/gone</loc></url><url><loc>http://a.example/one</loc></url></urlset>"),
                       ("http://c.example/sitemap.xml", "<urlset>")], "url string, body string")
     markdown = frame([("repo", 0, "# A"), ("repo", 1, "# B"), ("unlisted", 0, "# C")], "repo_url string, pos long, content string")
-    out = feeds.article_dispatch(catalog, pages, lists, sitemaps, markdown, hot_rows)
+    out = feeds.article_dispatch(catalog, pages, lists, sitemaps, markdown)
     rows = sorted((r.source_id, r.pos, r.url, r.content, r.error) for r in out.collect())
     assert rows == [
         (1, 0, "http://a.example/one", "P1", None),
-        (2, 0, "http://a.example/missing", None, "fetching http://a.example/missing"),
+        (2, 0, "http://a.example/missing", None, "no page at http://a.example/missing"),
         (3, 0, "http://a.example/two", "P2", None), (3, 1, "http://a.example/one", "P1", None),
-        (4, 1, "http://a.example/no1", None, "fetching http://a.example/no1"),
+        (4, 1, "http://a.example/no1", None, "no page at http://a.example/no1"),
         (5, 0, "http://a.example/one", "P1", None), (5, 2, "http://a.example/two", "P2", None),
-        (6, 0, "http://none.example/", None, "fetching http://none.example/"),
+        (6, 0, "http://none.example/", None, "no page at http://none.example/"),
         (7, 1, "http://a.example/one", "P1", None),
-        (8, 0, "http://b.example/sitemap.xml", None, "fetching http://b.example/sitemap.xml"),
+        (8, 0, "http://b.example/sitemap.xml", None, "no page at http://b.example/sitemap.xml"),
         (9, 0, "repo", "# A", None), (9, 1, "repo", "# B", None),
-        (10, 0, "x", None, "unsupported article type: podcast"),
+        (10, 0, "x", None, "no such kind of source: podcast"),
         (11, 0, None, None, "parsing sitemap"),
+        (12, 0, "lost.txt", None, "no address list at lost.txt"), (13, 0, "lost", None, "no documents at lost"),
+        (14, 0, "y", None, "no such kind of source: "), (15, 0, None, None, "no such kind of source: podcast"),
     ]
