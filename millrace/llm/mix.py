@@ -162,7 +162,8 @@ def taken_words(docs: DataFrame, **columns: str) -> DataFrame:
     # Rows have no key of their own; their place in the order is one, and it is written with them.
     rows = written_table(placed(sized, sources), "mix-placed")
     used = slots(sources).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    cut = pieces(rows).select("rank", "_offset", "block", "_n").join(used, ["rank", "block"])
+    # Unfolded spans are far more rows than their source's statistics say: never to be broadcast.
+    cut = pieces(rows).select("rank", "_offset", "block", "_n").join(used.hint("merge"), ["rank", "block"])
     taken = cut.groupBy("rank", "_offset").agg(F.sum(F.col("_n") * F.col("times")).alias("taken"))
     # Of the rows at one offset only the one with words takes any.
     result = rows.join(taken, ["rank", "_offset"], "left")
@@ -196,7 +197,7 @@ def mixed_blocks(docs: DataFrame, doc_id: str = "doc_id", source: str = "source"
     blocks = cut.groupBy("rank", "block").agg(F.sort_array(F.collect_list("p")).alias("p"))
     blocks = blocks.select("rank", "block", F.col("p._id").alias("doc_ids"), F.array_join("p.t", "\n\n").alias("text"))
     named = small_side(sources.select("rank", F.col("_source").alias("source")))
-    return slots(sources).join(blocks, ["rank", "block"]).join(named, "rank").drop("rank")
+    return slots(sources).hint("merge").join(blocks, ["rank", "block"]).join(named, "rank").drop("rank")
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:

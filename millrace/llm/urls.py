@@ -122,7 +122,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", u
     of = lambda v: rules.where(F.col("verdict") == v).select(F.col("rule").alias("key"))
     block, allow = Cascade(of("block"), universe, max_words), Cascade(of("allow"), universe, max_words)
     if block.too_large or allow.too_large:
-        return _by_join(judged.withColumn("_keys", listed), rules)
+        return _by_join(keyed.withColumn("_keys", listed), rules)
 
     def hit(name: str, i: int) -> Column:
         key = F.col(name)
