@@ -109,7 +109,12 @@ def declarations(folded: Column) -> Column:
     comment lines at its end are the doc of the next one. All texts are made here, per file, so that
     filters on the rows exploded from this array compute nothing again.
     """
-    chunks = F.split(F.replace(folded, F.lit("\nfunc "), F.lit(f"\n{_FENCE}func ")), _FENCE, -1)
+    fenced = F.replace(folded, F.lit("\nfunc "), F.lit(f"\n{_FENCE}func "))
+
+    def line_numbers(fenced: Column) -> Column:
+        """Of every fence, in order: the place of its line among all lines, those inside literals included."""
+        lines = F.split(fenced, f"[\n{FOLD}]", -1)
+        return F.array_compact(F.transform(lines, lambda line, i: F.when(line.startswith(_FENCE), i + 1)))
 
     def piece(chunk: Column, i: Column) -> Column:
         own = F.when(i > 0, _declaration_text(chunk)).otherwise("")
@@ -120,38 +125,30 @@ def declarations(folded: Column) -> Column:
             lambda d: F.struct(
                 d.alias("declaration"),
                 _comments_at_end(F.substr(chunk, F.char_length(d) + 1), tail).alias("comments"),
-                (F.octet_length(chunk) - F.octet_length(without(chunk, "\n" + FOLD))).alias("feeds"),
-            ),
-        )
-
-    def lines_above(pieces: Column) -> Column:
-        return F.aggregate(
-            pieces,
-            F.array().cast("array<int>"),
-            lambda sums, p: F.concat(
-                sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0)) + p["feeds"])
             ),
         )
 
-    def unit(piece: Column, comments: Column, above: Column) -> Column:
+    def unit(piece: Column, comments: Column, line_number: Column) -> Column:
         documented = F.size(comments) > 0
         body = F.when(
             documented, F.concat(F.array_join(comments, "\n"), F.lit("\n"), piece["declaration"])
         ).otherwise(piece["declaration"])
         return F.struct(
-            (above + 1).cast("bigint").alias("line_number"),
+            line_number.cast("bigint").alias("line_number"),
             F.when(documented, _doc_text(comments)).otherwise("").alias("doc"),
             unfold(piece["declaration"]).alias("declaration"),
             unfold(body).alias("body"),
         )
 
-    def all_of(pieces: Column) -> Column:
-        return bind(
-            lines_above(pieces),
-            lambda above: F.transform(
-                F.slice(pieces, 2, F.size(pieces)),
-                lambda p, i: unit(p, F.get(pieces, i)["comments"], F.get(above, i)),
-            ),
+    def all_of(pieces: Column, numbers: Column) -> Column:
+        return F.transform(
+            F.slice(pieces, 2, F.size(pieces)),
+            lambda p, i: unit(p, F.get(pieces, i)["comments"], F.get(numbers, i)),
         )
 
-    return bind(F.transform(chunks, piece), all_of)
+    return bind(
+        fenced,
+        lambda f: bind(
+            line_numbers(f), lambda numbers: bind(F.transform(F.split(f, _FENCE, -1), piece), lambda p: all_of(p, numbers))
+        ),
+    )

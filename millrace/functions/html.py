@@ -30,17 +30,22 @@ BLOCKS = (
     "td", "tfoot", "th", "thead", "tr", "ul",
 )
 
-# Every pattern starts with a plain '<', so that text between tags is passed over quickly.
+# Every pattern starts with a plain '<', so that text between tags is passed over quickly. Each ends with
+# the alternative of any tag, which takes an unclosed one up to the end of the page: a match always moves on, and no
+# part of a broken page is scanned from many starts.
+_ANY = rf"<(?:/?[a-z](?:{_REST}|[^>]*(?:>|\z))|[!?/][^>]*(?:>|\z))"
+_TAG = rf"(?is){_ANY}"
 _RAW = r"(?is)<(?:!--.*?(?:--!?>|\z)" + "".join(
     rf"|{name}{_AFTER_NAME}(.*?)(?:</{name}(?:>|[\s/][^>]*>?)|\z)" for name in RAW_TEXT
-) + ")"
-_RAW_GROUPS = "".join(f"${i + 1}" for i in range(len(RAW_TEXT)))
-_PRE = rf"(?is)<pre{_AFTER_NAME}(.*?)(?:</pre\s*>|\z)"
-_TAG = rf"(?is)<(?:/?[a-z](?:{_REST}|[^>]*(?:>|\z))|[!?/][^>]*(?:>|\z))"
-_HEADING = rf"(?i)<h[123]{_AFTER_NAME}"
-_PARAGRAPH = rf"(?i)<p{_AFTER_NAME}"
-_BLOCK = rf"(?i)<(?:/p|/?(?:{'|'.join(BLOCKS)}|h[1-6])){_AFTER_NAME}"
-_ANCHOR = r"""(?is)<a[\s/]((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+) + rf")|({_ANY})"
+# Of any other tag there is an empty piece and the tag behind it.
+_RAW_FENCED = "\x02" + "".join(f"${i + 1}" for i in range(len(RAW_TEXT))) + f"\x02${len(RAW_TEXT) + 1}"
+_PRE = rf"(?is)<(pre){_AFTER_NAME}(.*?)(?:</pre\s*>|\z)|({_ANY})"
+_PRE_FENCED = "\x02$1|$2\x02$3"
+_HEADING = rf"(?is)\A<h[123]{_AFTER_NAME}\z"
+_PARAGRAPH = rf"(?is)\A<p{_AFTER_NAME}\z"
+_BLOCK = rf"(?is)\A<(?:/p|/?(?:{'|'.join(BLOCKS)}|h[1-6])){_AFTER_NAME}\z"
+_ANCHOR = rf"""(?is)<a[\s/]((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|{_ANY}"""
 _ATTRIBUTE = r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 
 
@@ -55,8 +60,7 @@ def _fenced(text: Column, protect) -> Column:
 def protect_raw_text(html: Column) -> Column:
     """Drop comments and the tags of raw-text elements; keep that text safe from later passes."""
     clean = without(unix_lines(html), "\x01\x02\x03\x04\x05")
-    fenced = F.regexp_replace(clean, _RAW, f"\x02{_RAW_GROUPS}\x02")
-    return _fenced(fenced, mask)
+    return _fenced(F.regexp_replace(clean, _RAW, _RAW_FENCED), mask)
 
 
 def strip_tags(html: Column) -> Column:
@@ -65,16 +69,23 @@ def strip_tags(html: Column) -> Column:
 
 def mark_blocks(html: Column) -> Column:
     """Reduce a page to its text with \\x01 markers at block boundaries, references decoded."""
-    fenced = F.regexp_replace(protect_raw_text(html), _PRE, "\x02$1\x02")
-    text = _fenced(fenced, lambda s: F.concat(F.lit("\x01C"), strip_tags(s), F.lit("\x01X")))
-    for pattern, marker in ((_HEADING, "H"), (_PARAGRAPH, "P"), (_BLOCK, "X")):
-        text = F.regexp_replace(text, pattern, f"\x01{marker}")
-    return decode_entities(strip_tags(text))
+
+    def code(s: Column) -> Column:
+        text = F.concat(F.lit("\x01C"), strip_tags(F.substr(s, F.lit(len("pre|") + 1))), F.lit("\x01X"))
+        return F.when(s.startswith("|"), "").otherwise(text)
+
+    def marker(tag: Column) -> Column:
+        kind = F.when(tag.rlike(_HEADING), "\x01H").when(tag.rlike(_PARAGRAPH), "\x01P")
+        return kind.when(tag.rlike(_BLOCK), "\x01X").otherwise("")
+
+    text = _fenced(F.regexp_replace(protect_raw_text(html), _PRE, _PRE_FENCED), code)
+    return decode_entities(_fenced(F.regexp_replace(text, _TAG, "\x02$0\x02"), marker))
 
 
 def anchor_hrefs(html: Column) -> Column:
     """Every `href` of an `<a>` element, in document order."""
-    tags = F.regexp_extract_all(protect_raw_text(html), F.lit(_ANCHOR), F.lit(1))
+    # Other tags give an empty string.
+    tags = F.filter(F.regexp_extract_all(protect_raw_text(html), F.lit(_ANCHOR), F.lit(1)), lambda t: t != "")
 
     def hrefs(attributes: Column) -> Column:
         names = F.regexp_extract_all(attributes, F.lit(_ATTRIBUTE), F.lit(1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import gosource
 from millrace.functions.html import mark_blocks
+from millrace.functions.let import bind
 from millrace.functions.text import first_line, head_contains, trim_space
 
 # What marks a file as machine-written, and how far into it that is looked for.
@@ -34,22 +35,37 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
     clause gives none.
     """
     folded = files.select("path", gosource.fold(F.col("src")).alias("folded"))
-    package = gosource.package_name(F.col("folded"))
+
+    # What the file says of all its units is made in the exploded array as well: beside it, it would be made
+    # again from the whole text for every unit.
+    def of_file(text: Column, package: Column, imports: Column) -> Column:
+        fields = ("line_number", "doc", "declaration", "body")
+        return F.transform(
+            gosource.declarations(text),
+            lambda u: F.struct(*[u[f].alias(f) for f in fields], package.alias("package"), imports.alias("imports")),
+        )
+
+    text = F.col("folded")
     units = folded.select(
         "path",
-        package.alias("package"),
-        gosource.import_paths(F.col("folded")).alias("imports"),
-        F.explode(F.when(package != "", gosource.declarations(F.col("folded")))).alias("unit"),
+        F.explode(
+            bind(
+                gosource.package_name(text),
+                lambda package: F.when(
+                    package != "", bind(gosource.import_paths(text), lambda imports: of_file(text, package, imports))
+                ),
+            )
+        ).alias("unit"),
     )
     declaration = F.col("unit.declaration")
     return units.select(
-        "package",
+        "unit.package",
         F.regexp_extract(declaration, r"^func (?:\([^)]*\) ?)?([^\s(\[]+)", 1).alias("name"),
         F.regexp_extract(declaration, r"^func \((?:[^\s()*\[\]]+\s+)?([^()]+?)\s*\)", 1).alias("receiver"),
         "unit.doc",
         unit_signature(signature_from_body).alias("signature"),
         "unit.body",
-        "imports",
+        "unit.imports",
         F.col("path").alias("file_path"),
         "unit.line_number",
     )

@@ -41,7 +41,8 @@ def train_eval_split(df: DataFrame, keys: Sequence[str], split: float = 0.1) ->
 
     Nothing is ranked globally. Row counts per bucket of the draw (at most 65,536 rows) tell in which
     bucket the last eval row lies; only that bucket's keys are ranked, and the row found becomes the
-    threshold every row is compared with. Both steps read the draw and key columns only.
+    threshold every row is compared with. Both steps read the draw and key columns only. The keys have to be
+    unique: rows that tie with the threshold all go to the same side.
     """
     position = F.struct("shuffle_draw", *keys)
     bucket = F.shiftright("shuffle_draw", 32 - _BUCKET_BITS)

@@ -12,11 +12,12 @@ from millrace.operators.filters import filter_all
 from millrace.operators.formats import EXAMPLE_COLUMNS, format_by_mode
 from millrace.operators.sampling import is_fim, train_eval_split, with_draws
 from millrace.sources.files import scan_code_files
-from millrace.sources.jsonl import write_splits
+from millrace.sources.jsonl import folder_exists, write_splits
 from millrace.sources.scratch import written_table
 
 UNIT_KEY = ("file_path", "line_number")
-EXAMPLE_KEY = ("source", "line_number")
+#: Paths repeat where several trees are landed in one table; bodies do not after the dedup.
+EXAMPLE_KEY = ("source", "line_number", "body_key")
 
 
 @dataclass(frozen=True)
@@ -30,9 +31,9 @@ class BuildOptions:
 def examples_from_units(units: DataFrame, options: BuildOptions = BuildOptions()) -> DataFrame:
     """Filtered, deduplicated and formatted units with their key and shuffle draw; one shuffle."""
     kept = filter_all(units, options.min_lines)
-    drawn = with_draws(kept, options.seed, UNIT_KEY)
+    drawn = with_draws(kept, options.seed, UNIT_KEY).withColumn("body_key", F.sha2("body", 256))
     formatted = format_by_mode(drawn, is_fim(options.fim_ratio), F.col("cut_draw"))
-    return formatted.select(*EXAMPLE_COLUMNS, "line_number", "shuffle_draw")
+    return formatted.select(*EXAMPLE_COLUMNS, "line_number", "body_key", "shuffle_draw")
 
 
 def build_dataset(files: DataFrame, options: BuildOptions = BuildOptions()) -> DataFrame:
@@ -63,10 +64,19 @@ def build_counters(examples: DataFrame, fim: Column | None = None) -> DataFrame:
 
 
 def build_from_dir(
-    spark: SparkSession, input_dir: str, output_dir: str, options: BuildOptions = BuildOptions()
+    spark: SparkSession,
+    input_dir: str,
+    output_dir: str,
+    options: BuildOptions = BuildOptions(),
+    mode: str = "errorifexists",
 ) -> DataFrame:
-    """Scan a code tree, build, write `split=train` and `split=eval` JSON Lines; gives the counters."""
+    """Scan a code tree, build, write `split=train` and `split=eval` JSON Lines; gives the counters.
+
+    Unless `mode` is "overwrite", an output folder that exists is refused before any work is done.
+    """
+    if mode != "overwrite" and folder_exists(spark, output_dir):
+        raise FileExistsError(output_dir)
     examples = build_dataset(scan_code_files(spark, input_dir), options)
-    write_splits(examples, output_dir, ("shuffle_draw", *EXAMPLE_KEY))
+    write_splits(examples, output_dir, ("shuffle_draw", *EXAMPLE_KEY), mode)
     # Exactly the fim examples have a text, and the category is far smaller to read.
     return build_counters(examples, F.col("category") == "fim")

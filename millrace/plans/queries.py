@@ -301,7 +301,7 @@ def train_eval_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files to shuffled, split examples: the flagship."""
     code = files.select_code_files(views.source_files(spark, sf_dir))
-    return build.build_dataset(code).drop("shuffle_draw")
+    return build.build_dataset(code).drop("shuffle_draw", "body_key")
 
 
 @query
@@ -431,7 +431,7 @@ def request_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same metrics kept by a streaming query that runs through the event files once."""
     schema = table(spark, sf_dir, "events").schema
     # A pattern, because a streaming source takes a single file only that way.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     log = routing.route_log_model(views._select(stream, views.REQUESTS), views.ROUTES, views.ALIASES)
     out, checkpoint = scratch_path(spark, "metrics"), scratch_path(spark, "metrics-checkpoint")
     write_running_metrics(log, out, checkpoint).awaitTermination()

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from millrace.operators.formats import EXAMPLE_COLUMNS, EXAMPLE_SCHEMA
 
 
+SPLITS = ("eval", "train")
+
+
 def _without_empty_fields(examples: DataFrame, *extra: str) -> DataFrame:
     # The JSON writer leaves out nulls.
     fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in EXAMPLE_COLUMNS]
@@ -21,14 +24,22 @@ def write_jsonl(examples: DataFrame, path: str) -> None:
     _without_empty_fields(examples).write.json(path)
 
 
-def write_splits(examples: DataFrame, path: str, order: Sequence[str]) -> None:
+def write_splits(examples: DataFrame, path: str, order: Sequence[str], mode: str = "errorifexists") -> None:
     """Write `split=eval` and `split=train` folders in one pass, rows in `order` across part files.
 
     The eval rows come first in shuffled order, so sorting by `split` first changes nothing and also
-    gives the writer the clustering it needs: no second sort.
+    gives the writer the clustering it needs: no second sort. Both folders are there also without rows.
     """
     ordered = examples.orderBy("split", *order)
-    _without_empty_fields(ordered, "split").write.partitionBy("split").json(path)
+    _without_empty_fields(ordered, "split").write.mode(mode).partitionBy("split").json(path)
+    none = examples.sparkSession.createDataFrame([], EXAMPLE_SCHEMA)
+    for split in SPLITS:
+        none.write.mode("append").json(f"{path.rstrip('/')}/split={split}")
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -197,3 +197,11 @@ def test_paths_from_any_root(spark, fresh_dir):
         assert sorted(x.path for x in scan_code_files(spark, r).collect()) == ["a.go", "x/b.go"], r
     with pytest.raises(FileNotFoundError):
         scan_code_files(spark, f"{root}/none")
+
+
+def test_many_functions_of_one_file(spark):
+    """Line numbers and what the file says of its units take time in proportion to the file."""
+    n = 50_000
+    src = 'package p\n\nimport "fmt"\n\n' + "".join(f"// F{i} is.\nfunc F{i}() {{\n\tfmt.Println(`a\nb`)\n}}\n" for i in range(n))
+    found = units(spark, ("a.go", src))
+    assert len(found) == n and found[-1]["line_number"] == 5 + 5 * (n - 1) + 1 and found[-1]["imports"] == ["fmt"]

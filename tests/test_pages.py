@@ -253,3 +253,11 @@ def test_article_sources(spark):
         (12, 0, "lost.txt", None, "no address list at lost.txt"), (13, 0, "lost", None, "no documents at lost"),
         (14, 0, "y", None, "no such kind of source: "), (15, 0, None, None, "no such kind of source: podcast"),
     ]
+
+
+@pytest.mark.parametrize("unclosed", ["<p ", "<a ", "<h1 ", "<title ", "<pre ", "<script x='", '<div "'])
+def test_broken_pages_take_linear_time(spark, unclosed):
+    html = "<h2>T</h2><p>kept</p>" + unclosed * 300_000
+    assert sections(spark, [(1, html)])[1] == [("T", "kept", [])]
+    pages = spark.createDataFrame([(1, "http://site.example/", html)], "page_id int, url string, html string")
+    assert feeds.discover_links(pages).count() == 0

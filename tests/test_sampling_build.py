@@ -234,3 +234,19 @@ def test_markdown(spark, fresh_dir):
     write_tree(fresh_dir, {"README.md": "# A\n", "docs/x.md": "b", "docs/vendor/y.md": "c", "empty.md": "", "n.txt": "t"})
     rows = files.scan_markdown(spark, fresh_dir).collect()
     assert sorted((r.path, r.content) for r in rows) == [("README.md", "# A\n"), ("docs/vendor/y.md", "c"), ("docs/x.md", "b")]
+
+
+def test_both_splits_are_written_and_an_old_build_is_kept(spark, fresh_dir):
+    write_tree(fresh_dir + "/in", {"main.go": MAIN})
+    build.build_from_dir(spark, fresh_dir + "/in", fresh_dir + "/out")
+    assert all(os.path.isdir(f"{fresh_dir}/out/split={s}") for s in jsonl.SPLITS)
+    with pytest.raises(FileExistsError):
+        build.build_from_dir(spark, fresh_dir + "/in", fresh_dir + "/out")
+    counts = build.build_from_dir(spark, fresh_dir + "/in", fresh_dir + "/out", mode="overwrite").first()
+    assert sum(jsonl.read_split(spark, fresh_dir + "/out", s).count() for s in jsonl.SPLITS) == counts.total
+
+
+def test_equal_paths_of_two_trees_split_exactly(spark):
+    tree = [("a.go", MAIN.replace("Lookup(", f"Lookup{i}(").replace("Clamp(", f"Clamp{i}(")) for i in range(50)]
+    rows = build.build_dataset(spark.createDataFrame(tree, "path string, src string")).collect()
+    assert len(rows) == 100 and sum(r.split == "eval" for r in rows) == 10
