@@ -19,7 +19,13 @@ DRAW_RANGE = 2**32
 
 def digest(seed: int, keys: Sequence[str | Column]) -> Column:
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols]), 256)
+    return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[_part(c.cast("string")) for c in cols]), 256)
+
+
+def _part(key: Column) -> Column:
+    """A key part in which `|` and NULL cannot be taken for anything else."""
+    escaped = F.regexp_replace(key, r"[\\|]", r"\\$0")
+    return F.coalesce(escaped, F.lit("\\N"))
 
 
 def draw(hex_digest: Column, purpose: str) -> Column:

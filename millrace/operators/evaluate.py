@@ -61,6 +61,23 @@ def compare_summary(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     return verdicts.select(delta.alias("score_delta"), "improved", "regressed", "unchanged")
 
 
+def weighted_score(results: DataFrame, weights: DataFrame) -> DataFrame:
+    """One row: mean score of each category, averaged by the `weight` of the category.
+
+    Weights are scaled to the categories that have results; categories without a weight do not count.
+    """
+    means = results.groupBy("category").agg(F.avg("score").alias("mean"))
+    weighed = means.join(weights.select("category", "weight"), "category")
+    return weighed.agg(
+        F.count(F.lit(1)).alias("categories"), (F.sum(F.col("weight") * F.col("mean")) / F.sum("weight")).alias("weighted_score")
+    )
+
+
+def judge_agreement(results: DataFrame, *by: str) -> DataFrame:
+    """Correlation of the automated `score` with `judge_avg`, overall or per `by` columns."""
+    return results.groupBy(*by).agg(F.count(F.lit(1)).alias("judged"), F.corr("score", "judge_avg").alias("agreement"))
+
+
 def parse_judge(responses: DataFrame) -> DataFrame:
     """Add the four criteria and `ok` from the judge's JSON in `response`.
 

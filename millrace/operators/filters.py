@@ -23,6 +23,11 @@ def min_lines(units: DataFrame, n: int) -> DataFrame:
     return units.where(line_count(F.col("body")) >= n)
 
 
+def min_file_lines(files: DataFrame, n: int = 20) -> DataFrame:
+    """Files (`path`, `src`) of at least `n` lines; runs in the scan's stage, before anything is extracted."""
+    return files.where(line_count(F.col("src")) >= n)
+
+
 def input_order() -> list[Column]:
     """The order in which units are met: tree walk, then line."""
     return [path_order(F.col("file_path")), F.col("line_number")]

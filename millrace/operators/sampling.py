@@ -8,8 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.draws import DRAW_RANGE, digest, draw
+from millrace.sources.scratch import written_table
 
 _BUCKET_BITS = 16
+#: Rows of a table of strata or weights that may be broadcast; a larger one is joined by a shuffle.
+_FEW = 200_000
+
+
+def _small_side(df: DataFrame, name: str) -> DataFrame:
+    """Written and counted, so that the texts it meets stay where they are if it is as small as it should be."""
+    written = written_table(df, name)
+    return F.broadcast(written) if written.limit(_FEW + 1).count() <= _FEW else written
 
 
 def with_draws(df: DataFrame, seed: int, keys: Sequence[str]) -> DataFrame:
@@ -71,6 +80,47 @@ def train_eval_split(df: DataFrame, keys: Sequence[str], split: float = 0.1) ->
     return df.withColumn("split", F.when(in_eval, "eval").otherwise("train"))
 
 
+def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, split: float = 0.1) -> DataFrame:
+    """Add `split`: in each stratum exactly the first `eval_size` rows in shuffled order are 'eval'.
+
+    As in `train_eval_split`, for all strata in one pass: only the keys of each stratum's boundary bucket
+    are ranked. NULL is a stratum of its own, a stratum of one row is 'train'. The keys have to be unique.
+    """
+    bucket = F.shiftright("shuffle_draw", 32 - _BUCKET_BITS)
+    position = F.struct("shuffle_draw", *keys)
+    counts = df.groupBy(F.col(stratum).alias("_stratum"), bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    one = Window.partitionBy("_stratum")
+    upto = F.sum("rows").over(one.orderBy("_bucket"))
+    totals = counts.select(
+        "_stratum", "_bucket", (upto - F.col("rows")).alias("before"), upto.alias("upto"),
+        eval_size(F.sum("rows").over(one), split).alias("wanted"),
+    )
+    boundary = totals.where("before < wanted AND wanted <= upto").withColumn("_nth", F.col("wanted") - F.col("before"))
+    met = F.col(stratum).eqNullSafe(F.col("_stratum"))
+    near = df.select(stratum, "shuffle_draw", *keys).join(
+        boundary.select("_stratum", "_bucket", "_nth"), met & (bucket == F.col("_bucket"))
+    )
+    rank = F.row_number().over(one.orderBy("shuffle_draw", *keys))
+    last = near.select("_stratum", "_nth", position.alias("_last"), rank.alias("_rank")).where("_rank = _nth")
+    joined = df.join(_small_side(last.select("_stratum", "_last"), "strata"), met, "left")
+    in_eval = F.coalesce(position <= F.col("_last"), F.lit(False))
+    return joined.withColumn("split", F.when(in_eval, "eval").otherwise("train")).drop("_stratum", "_last")
+
+
+def oversample(df: DataFrame, weights: DataFrame, by: str, where: Column | None = None) -> DataFrame:
+    """Repeat each row `ceil(effective_weight)` times, at least once, and number the copies in `copy_no`.
+
+    `weights` has `by` and `effective_weight`; rows without a weight, and those that are not `where`, stay single.
+    Of repeated weights the largest counts.
+    """
+    heaviest = weights.groupBy(F.col(by).alias("_by")).agg(F.max("effective_weight").alias("_weight"))
+    copies = F.greatest(F.lit(1), F.ceil(F.coalesce("_weight", F.lit(1.0)))).cast("int")
+    if where is not None:
+        copies = F.when(where, copies).otherwise(1)
+    joined = df.join(_small_side(heaviest, "weights"), F.col(by) == F.col("_by"), "left")
+    return joined.withColumn("copy_no", F.explode(F.sequence(F.lit(1), copies))).drop("_by", "_weight")
+
+
 def validation_sample(df: DataFrame, order: Sequence[str | Column], n: int = 10, train: int = 8) -> DataFrame:
     """The first `n` rows: `train` of them labelled 'train', the others 'eval'."""
     first = df.orderBy(*order).limit(n)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators.extract import code_units, drop_generated_files
 from millrace.operators.filters import filter_all
 from millrace.operators.formats import EXAMPLE_COLUMNS, format_by_mode
-from millrace.operators.sampling import is_fim, train_eval_split, with_draws
+from millrace.operators.sampling import is_fim, oversample, stratified_split, train_eval_split, with_draws
 from millrace.sources.files import scan_code_files
 from millrace.sources.jsonl import folder_exists, write_splits
 from millrace.sources.scratch import written_table
@@ -48,6 +48,22 @@ def build_dataset(files: DataFrame, options: BuildOptions = BuildOptions()) -> D
     return train_eval_split(examples, EXAMPLE_KEY, options.eval_split or 0.1)
 
 
+def merge_sources(
+    code: DataFrame, articles: DataFrame, weights: DataFrame, options: BuildOptions = BuildOptions()
+) -> DataFrame:
+    """Code and article examples of all origins in one dataset, split by category and weighted by origin.
+
+    Both inputs have the example columns, `origin` and an `example_id` that is unique over both; `weights`
+    has `origin` and `effective_weight`. Examples are split before they are repeated, and only the 'train' ones
+    are repeated, so no copy of an evaluation example is trained on.
+    """
+    columns = [*EXAMPLE_COLUMNS, "origin", "example_id"]
+    merged = with_draws(code.select(columns).unionByName(articles.select(columns)), options.seed, ("example_id",))
+    merged = written_table(merged.drop("mode_draw", "cut_draw"), "merged")
+    labelled = stratified_split(merged, ("example_id",), "category", options.eval_split or 0.1)
+    return oversample(labelled, weights, "origin", F.col("split") == "train")
+
+
 def build_counters(examples: DataFrame, fim: Column | None = None) -> DataFrame:
     """One row: total, train, eval, fim and instruction examples.
 

@@ -189,6 +189,24 @@ SELECT doc_id, CASE WHEN {_IS_FIM} THEN 'fim' ELSE 'instruction' END AS mode FRO
 ORACLE["seeded_shuffle"] = f"SELECT doc_id, {_draw('doc_id', 17)} AS shuffle_draw, text FROM documents"
 ORACLE["train_eval_split"] = f"""
 WITH {_drawn('SELECT doc_id FROM documents', 'doc_id')}, {_split('drawn', 'doc_id')} SELECT doc_id, split FROM labelled"""
+
+
+def _stratified(source: str, stratum: str, key: str) -> str:
+    return f"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY shuffle_draw, {key}) AS rank,
+                  count(*) OVER (PARTITION BY {stratum}) AS n FROM {source}),
+labelled AS (
+    SELECT * EXCLUDE (rank, n), CASE WHEN rank <= greatest(0, least(n - 1, greatest(1,
+        CAST(floor(n * 0.1::DOUBLE) AS BIGINT)))) THEN 'eval' ELSE 'train' END AS split FROM ranked)"""
+
+
+ORACLE["stratified_split"] = f"""
+WITH {_drawn('SELECT doc_id, lang FROM documents', 'doc_id')}, {_stratified('drawn', 'lang', 'doc_id')}
+SELECT doc_id, lang, split FROM labelled"""
+_COPIES = "greatest(1, CAST(ceil((length(origin) % 7) / 2) AS INT))"
+ORACLE["oversample"] = f"""
+SELECT doc_id, origin, CAST(unnest(range(1, {_COPIES} + 1)) AS INT) AS copy_no
+FROM (SELECT doc_id, source AS origin FROM documents)"""
 ORACLE["validation_sample"] = f"""
 WITH {_EXAMPLES}, {_split('examples', 'doc_id')},
 firsts AS (
@@ -402,6 +420,16 @@ WITH {_JUDGED}
 SELECT quality, count(*) AS n, round(avg((correctness + idiom + simplicity + completeness) / 4.0::DOUBLE), 9) AS judge_avg
 FROM parsed WHERE ok GROUP BY quality"""
 
+ORACLE["weighted_score"] = f"""
+WITH means AS (SELECT category, avg({_SCORE}) AS mean FROM ({_RESULTS}) GROUP BY category),
+weights AS (SELECT lang AS category, count(*)::DOUBLE AS weight FROM documents GROUP BY lang)
+SELECT count(*) AS categories, round(sum(weight * mean) / sum(weight), 9) AS weighted_score FROM means JOIN weights USING (category)"""
+ORACLE["judge_agreement"] = f"""
+WITH {_JUDGED}
+SELECT count(*) AS judged,
+       round(corr({_SCORE}, (correctness + idiom + simplicity + completeness) / 4.0::DOUBLE), 6) AS agreement
+FROM ({_RESULTS}) r JOIN parsed p ON p.doc_id = r.position WHERE ok"""
+
 # ---- routing
 
 _RULES = ", ".join(
@@ -456,3 +484,17 @@ ORACLE["route_log_model"] = f"{_LOGGED} SELECT event_id, model FROM logged"
 ORACLE["request_metrics"] = f"""
 {_LOGGED} SELECT model, count(*) AS requests, count(*) FILTER (is_err) AS errors FROM logged GROUP BY model"""
 ORACLE["request_metrics_stream"] = ORACLE["request_metrics"]
+
+# ---- all sources in one dataset
+
+ORACLE["min_file_lines"] = f"SELECT path, src FROM ({_FILES}) WHERE length(src) - length(replace(src, chr(10), '')) + 1 >= 40"
+_ALL = f"""
+SELECT 'code-' || doc_id AS example_id, split_part(source, '/', 1) AS origin, category, text, instruction, output
+FROM (WITH {_EXAMPLES} SELECT * FROM examples)
+UNION ALL
+SELECT category || '-' || page_id || '-' || section_no || '-' || block_no, 'articles', category, '', instruction, output
+FROM ({ORACLE['prose_pairs']})"""
+ORACLE["merge_sources"] = f"""
+WITH {_drawn(_ALL, 'example_id')}, {_stratified('drawn', 'category', 'example_id')}
+SELECT example_id, origin, category, split, text, instruction, output, CAST(unnest(range(1, 1 +
+    CASE WHEN split = 'eval' OR origin = 'articles' THEN 1 ELSE {_COPIES} END)) AS INT) AS copy_no FROM labelled"""

@@ -180,6 +180,12 @@ def drop_generated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.drop_generated_files(views.source_files(spark, sf_dir))
 
 
+@query
+def min_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a limit that the shorter of the derived files miss."""
+    return filters.min_file_lines(views.source_files(spark, sf_dir), 40)
+
+
 def _code_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.code_units(views.source_files(spark, sf_dir))
 
@@ -297,6 +303,38 @@ def train_eval_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.train_eval_split(drawn, KEYS, 0.1).select("doc_id", "split")
 
 
+@query
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sampling.with_draws(table(spark, sf_dir, "documents"), views.SEED, KEYS)
+    return sampling.stratified_split(drawn, KEYS, "lang", 0.1).select("doc_id", "lang", "split")
+
+
+def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A weight from 0 (read as 1) to 3 for each origin of documents."""
+    origins = table(spark, sf_dir, "documents").select("source").distinct()
+    weighed = origins.selectExpr("source AS origin", "'' AS dir", "CAST(length(source) % 7 AS DOUBLE) / 2 AS weight")
+    return catalog.source_catalog(weighed)
+
+
+@query
+def oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    origins = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("origin"))
+    return sampling.oversample(origins, _weights(spark, sf_dir), "origin")
+
+
+@query
+def merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as code and pages as articles in one dataset; articles have no weight."""
+    code = _examples(spark, sf_dir).withColumns(
+        {"origin": F.split_part("source", F.lit("/"), F.lit(1)), "example_id": F.concat(F.lit("code-"), "doc_id")}
+    )
+    pairs = formats.prose_pairs(extract.prose_sections(views.articles(spark, sf_dir))).withColumns(
+        {"origin": F.lit("articles"), "example_id": F.concat_ws("-", "category", "page_id", "section_no", "block_no")}
+    )
+    merged = build.merge_sources(code, pairs, _weights(spark, sf_dir))
+    return merged.select("example_id", "origin", "category", "split", "copy_no", "text", "instruction", "output")
+
+
 @query
 def build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files to shuffled, split examples: the flagship."""
@@ -370,6 +408,24 @@ def judge_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def weighted_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories weighed by their documents."""
+    weights = table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("category")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")
+    )
+    score = evaluate.weighted_score(evaluate.score_results(views.results(spark, sf_dir)), weights)
+    return score.withColumn("weighted_score", F.round("weighted_score", 9))
+
+
+@query
+def judge_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = evaluate.judge_average(evaluate.parse_judge(views.judge_responses(spark, sf_dir)).where("ok"))
+    scored = evaluate.score_results(views.results(spark, sf_dir))
+    both = scored.join(judged.select(F.col("doc_id").alias("position"), "judge_avg"), "position")
+    return evaluate.judge_agreement(both).withColumn("agreement", F.round("agreement", 6))
+
+
 @query
 def parse_chat_response(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = table(spark, sf_dir, "conversations").selectExpr(

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import sampling
+from millrace.operators import evaluate, sampling
 from millrace.plans import build
 from millrace.sources import catalog, files, jsonl, prompts, scratch
 
@@ -250,3 +250,35 @@ def test_equal_paths_of_two_trees_split_exactly(spark):
     tree = [("a.go", MAIN.replace("Lookup(", f"Lookup{i}(").replace("Clamp(", f"Clamp{i}(")) for i in range(50)]
     rows = build.build_dataset(spark.createDataFrame(tree, "path string, src string")).collect()
     assert len(rows) == 100 and sum(r.split == "eval" for r in rows) == 10
+
+
+def test_draws_tell_key_parts_apart(spark):
+    rows = [("a|1", "2"), ("a", "1|2"), ("a", None), (None, "a"), ("a\\", "1"), ("a", "\\1"), ("a", "\\N")]
+    drawn = sampling.with_draws(spark.createDataFrame(rows, "a string, b string"), 42, ("a", "b"))
+    assert drawn.select("mode_draw", "cut_draw").distinct().count() == len(rows)
+
+
+def test_strata_are_split_exactly(spark):
+    rows = [(i, None if i % 3 == 0 else "x" if i % 3 == 1 else f"y{i % 6}") for i in range(500)] + [(1000, "alone"), (1001, "two"), (1002, "two")]
+    drawn = sampling.with_draws(spark.createDataFrame(rows, "id long, c string"), 42, ("id",))
+    got = sampling.stratified_split(drawn, ("id",), "c").collect()
+    assert len(got) == len(rows)
+    for c in {r.c for r in got}:
+        ordered = [r.split for r in sorted((r for r in got if r.c == c), key=lambda r: (r.shuffle_draw, r.id))]
+        n_eval = max(0, min(len(ordered) - 1, max(1, len(ordered) // 10)))
+        assert ordered == ["eval"] * n_eval + ["train"] * (len(ordered) - n_eval)
+    assert sampling.stratified_split(drawn.limit(0), ("id",), "c").count() == 0
+
+
+def test_copies_follow_the_weights(spark):
+    weights = spark.createDataFrame([("a", 1.5), ("a", 2.0), ("b", 3.2), ("c", 0.1), ("d", None), (None, 9.0)], "o string, effective_weight double")
+    rows = spark.createDataFrame([(o,) for o in ("a", "b", "c", "d", "e", None)], "o string")
+    copies = {r.o: r["count"] for r in sampling.oversample(rows, weights, "o").groupBy("o").count().collect()}
+    assert copies == {"a": 2, "b": 4, "c": 1, "d": 1, "e": 1, None: 1}
+
+
+def test_weighted_score_scales_the_weights(spark):
+    results = spark.createDataFrame([("a", 0.4), ("a", 0.6), ("b", 1.0), ("z", 0.0)], "category string, score double")
+    weights = spark.createDataFrame([("a", 0.15), ("b", 0.05), ("unused", 0.8)], "category string, weight double")
+    row = evaluate.weighted_score(results, weights).first()
+    assert row.categories == 2 and abs(row.weighted_score - 0.625) < 1e-12
