@@ -74,4 +74,23 @@ SELECT doc_id, coalesce(n_found, 0)::BIGINT AS n_found, found.licence AS licence
 FROM texts LEFT JOIN found USING (r)
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op8_licence_scan": LICENCES, "op9_url_cascade": URLS}
+_PLAIN = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_NORMAL = rf"regexp_extract_all({_PLAIN}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEAKS = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_NORMAL} AS w FROM documents),
+i AS (SELECT item_id, w, least(10, len(w)) AS k FROM (SELECT item_id, {_NORMAL} AS w FROM benchmark) WHERE len(w) > 0),
+grams AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS g
+          FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM i)),
+places AS (SELECT r, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+           FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM grams))),
+hits AS (SELECT r, p, k, item_id FROM places JOIN grams USING (k, g)),
+covered AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + k)) AS q FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op8_licence_scan": LICENCES, "op9_url_cascade": URLS, "op13_benchmark_leaks": LEAKS}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, licences, mix, near, pieces, private, quality, repeats, toxicity, urls
+from millrace.llm import fingerprints, leaks, licences, mix, near, pieces, private, quality, repairs, repeats, toxicity, urls, whitening
 from millrace.llm.words import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), pieces.Pieces.read(PIECE_MODEL))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repairs.repair_digests(repairs.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leak_digests(leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
