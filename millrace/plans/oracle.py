@@ -7,6 +7,7 @@ units, global ranks for the split, a cross product of requests and rules for rou
 from __future__ import annotations
 
 from millrace.operators.formats import EXPLAIN, FIM_MIDDLE, FIM_PREFIX, FIM_SUFFIX, IMPLEMENT, JUDGE_PROMPT, SYSTEM_PROMPT
+from millrace.operators.neardup import BANDS, PRIME, ROWS, coefficients
 from millrace.plans import views
 
 ORACLE: dict[str, str] = {}
@@ -228,6 +229,42 @@ ORACLE["exact_dedup"] = f"SELECT doc_id, file_path, body FROM ({_UNITS}) QUALIFY
 ORACLE["filter_all"] = f"""
 SELECT doc_id, file_path, body FROM ({_UNITS}) WHERE NOT {_UNIT_MARKED} AND {_LONG} QUALIFY {_FIRST}"""
 
+
+
+def _near_dedup() -> str:
+    minima = ", ".join(f"min(({a} * (h % {PRIME}) + {b}) % {PRIME}) AS m{k}" for k, (a, b) in enumerate(coefficients()))
+    bands = ", ".join(f"[{k}, {', '.join(f'm{k * ROWS + r}' for r in range(ROWS))}]" for k in range(BANDS))
+    return rf"""
+WITH RECURSIVE units AS (
+    SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS unit FROM (SELECT * FROM ({_UNITS}) QUALIFY {_FIRST})),
+worded AS (SELECT unit, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w FROM units),
+shingles AS (
+    SELECT unit, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+    FROM worded WHERE len(w) > 0),
+hashed AS (SELECT DISTINCT unit, CAST('0x' || substr(sha256(s), 1, 15) AS BIGINT) AS h FROM shingles),
+sets AS (SELECT unit, list(h) AS hs FROM hashed GROUP BY unit),
+signed AS (SELECT unit, {minima} FROM hashed GROUP BY unit),
+buckets AS MATERIALIZED (SELECT unit, unnest([{bands}]) AS bucket FROM signed),
+pairs AS (SELECT DISTINCT a.unit AS head, b.unit AS unit FROM buckets a JOIN buckets b USING (bucket) WHERE a.unit < b.unit),
+near AS MATERIALIZED (
+    SELECT head, p.unit FROM pairs p JOIN sets a ON a.unit = head JOIN sets b ON b.unit = p.unit
+    WHERE 100 * len(list_intersect(a.hs, b.hs))
+        >= 80 * (len(a.hs) + len(b.hs) - len(list_intersect(a.hs, b.hs)))),
+rounds AS (
+    SELECT bucket, unit, min(unit) OVER (PARTITION BY bucket) AS leader FROM buckets
+    UNION ALL
+    SELECT bucket, unit, min(unit) OVER (PARTITION BY bucket) FROM (
+        SELECT bucket, unit FROM rounds r WHERE unit <> leader
+            AND NOT EXISTS (SELECT 1 FROM near p WHERE p.head = r.leader AND p.unit = r.unit))),
+links AS MATERIALIZED (SELECT DISTINCT leader AS a, r.unit AS b FROM rounds r JOIN near p ON p.head = r.leader AND p.unit = r.unit),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT DISTINCT a AS unit, a AS other FROM ends UNION SELECT unit, b FROM reached JOIN ends ON a = other)
+SELECT doc_id, file_path, body FROM units
+WHERE unit NOT IN (SELECT unit FROM reached GROUP BY unit HAVING min(other) < unit)"""
+
+
+ORACLE["near_dedup"] = _near_dedup()
+
 # ---- code units
 
 _TOKENS = r"""(?s)`[^`]*`|/\*.*?\*/|//[^\n]*|"(?:[^"\\\n]|\\.)*"|''(?:[^''\\\n]|\\.)*''"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import evaluate, extract, filters, formats, routing, sampling
+from millrace.operators import evaluate, extract, filters, formats, neardup, routing, sampling
 from millrace.plans import build, views
 from millrace.plans.views import table
 from millrace.sources import catalog, feeds, files, jsonl, prompts
@@ -237,6 +237,11 @@ def filter_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_all(views.units(spark, sf_dir), 3).select("doc_id", "file_path", "body")
 
 
+@query
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_dedup(views.units(spark, sf_dir)).select("doc_id", "file_path", "body")
+
+
 # ---- formats
 
 
