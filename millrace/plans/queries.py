@@ -12,7 +12,7 @@ from millrace.plans import build, views
 from millrace.plans.views import table
 from millrace.sources import catalog, feeds, files, jsonl, prompts
 from millrace.sources.scratch import scratch_path
-from millrace.streaming.metrics import write_running_metrics
+from millrace.streaming.metrics import read_running_metrics, write_running_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -496,4 +496,4 @@ def request_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = routing.route_log_model(views._select(stream, views.REQUESTS), views.ROUTES, views.ALIASES)
     out, checkpoint = scratch_path(spark, "metrics"), scratch_path(spark, "metrics-checkpoint")
     write_running_metrics(log, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).select("model", "requests", "errors")
+    return read_running_metrics(spark, out).select("model", "requests", "errors")
