@@ -69,12 +69,16 @@ def test_no_two_kept_units_of_a_bucket_are_near(spark):
     for r in signed:
         by.setdefault(r.bucket, set()).add(rows[r.unit][0])
     assert 1 < len(got) < len(rows) and max(map(len, by.values())) > neardup.LEADERS
-    for members in by.values():
-        mine = sorted(members & got)
-        assert not any(near(sets[a], sets[b]) for a in mine for b in mine if a < b)
+    pairs = {(a, b) for m in by.values() for a in m for b in m if a < b}
+    alike: dict = {p: set() for p in sets}
+    for a, b in pairs:
+        if near(sets[a], sets[b]):
+            assert not {a, b} <= got
+            alike[a].add(b)
+            alike[b].add(a)
     for p in sets.keys() - got:
         reached = {p}
-        while more := {b for a in reached for m in by.values() if a in m for b in m if near(sets[a], sets[b])} - reached:
+        while more := {b for a in reached for b in alike[a]} - reached:
             reached |= more
         assert min(reached) < p and min(reached) in got
 
