@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.let import bind
+from millrace.functions.text import guard, guarded_character, unguard
 
 _REFERENCE = r"^(#[xX][0-9a-fA-F]+;?|#[0-9]+;?|[A-Za-z][A-Za-z0-9]*;)"
 
@@ -49,8 +50,7 @@ def _character(code: Column) -> Column:
     utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
     return (
         F.when(invalid, F.lit("�"))
-        # The HTML operators use the lowest control characters as markers.
-        .when(code < 6, F.lit(""))
+        .when(code <= 6, guarded_character(code))
         .otherwise(F.coalesce(F.try_element_at(remapped, code.cast("string")), F.decode(utf32, "UTF-32")))
     )
 
@@ -95,12 +95,17 @@ def _swap(text: Column, pairs: dict[str, str]) -> Column:
 
 
 def mask(text: Column) -> Column:
-    """Keep '&' and '<' from being read as markup; `decode_entities` brings them back."""
+    """Keep '&' and '<' from being read as markup; `decode_guarded` brings them back."""
     return _swap(text, {new: old for old, new in _MASKED.items()})
 
 
 def decode_entities(text: Column, in_attribute: bool = False) -> Column:
-    """Replace character references, and unmask."""
+    """Replace character references."""
+    return unguard(decode_guarded(guard(text), in_attribute))
+
+
+def decode_guarded(text: Column, in_attribute: bool = False) -> Column:
+    """Replace character references in a guarded text, and unmask; the result is guarded, too."""
     pieces = F.transform(
         F.split(_swap(text, _COMMON), "&", -1),
         lambda s, i: F.when(i == 0, s).otherwise(

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.let import bind
-from millrace.functions.text import trim_space, unix_lines, without
+from millrace.functions.text import guard, trim_space, unguard, unix_lines
 
 #: Stands for a line feed inside a raw string or block comment.
 FOLD = "\x02"
@@ -25,17 +25,66 @@ _TOKENS = (
 )
 
 
+# A pair of brackets, up to three deep.
+_PAIR = r"\(\)|\[\]|\{\}"
+for _ in range(2):
+    _PAIR = rf"\((?:{_PAIR})*+\)|\[(?:{_PAIR})*+\]|\{{(?:{_PAIR})*+\}}"
+_UNCLOSED_COMMENT = rf"{_FENCE}/\*(?:(?!\*/)[^{_FENCE}])*+{_FENCE}"
+_PACKAGE_FIRST = r"\A\s*+package\s++[\p{L}_][\p{L}\p{Nd}_]*+[ \t]*+(?:[;\n]|\z)"
+
+
 def fold(source: Column) -> Column:
-    text = F.ltrim(without(unix_lines(source), FOLD + _FENCE), F.lit("\ufeff"))
-    fenced = F.split(F.regexp_replace(text, _TOKENS, f"$1{_FENCE}$2{_FENCE}"), _FENCE, -1)
-    pieces = F.transform(
-        fenced, lambda s, i: F.when(i % 2 == 1, F.replace(s, F.lit("\n"), F.lit(FOLD))).otherwise(s)
+    """`folded`: the text with literals and comments on one line, guarded; `sound`: whether it can be a Go file."""
+    text = F.ltrim(guard(unix_lines(source)), F.lit("\ufeff"))
+
+    def parts(fenced: Column) -> Column:
+        def of(pieces: Column) -> Column:
+            folded = F.transform(pieces, lambda s, i: F.when(i % 2 == 1, F.replace(s, F.lit("\n"), F.lit(FOLD))).otherwise(s))
+            code = F.array_join(F.filter(pieces, lambda _, i: i % 2 == 0), " ")
+            return F.struct(F.array_join(folded, "").alias("folded"), (_literals_closed(fenced) & bind(code, _sound_code)).alias("sound"))
+
+        return bind(F.split(fenced, _FENCE, -1), of)
+
+    return bind(F.regexp_replace(text, _TOKENS, f"$1{_FENCE}$2{_FENCE}"), parts)
+
+
+def _literals_closed(fenced: Column) -> Column:
+    # A delimiter that is a token of its own opens what never ends.
+    lone = [F.contains(fenced, F.lit(f"{_FENCE}{c}{_FENCE}")) for c in "`\"'"]
+    return ~(lone[0] | lone[1] | lone[2] | fenced.rlike(_UNCLOSED_COMMENT))
+
+
+def _sound_code(code: Column) -> Column:
+    """Without literals and comments: the package clause comes first and brackets are balanced."""
+    return code.rlike(_PACKAGE_FIRST) & bind(F.regexp_replace(code, r"[^(){}\[\]]++", ""), balanced)
+
+
+def balanced(brackets: Column) -> Column:
+    """Whether a text of brackets is balanced: pairs vanish from the inside, what is left goes over a stack."""
+    rest = F.aggregate(
+        F.sequence(F.lit(1), F.lit(4)), brackets, lambda b, _: F.when(b == "", b).otherwise(F.regexp_replace(b, _PAIR, ""))
     )
-    return F.array_join(pieces, "")
+
+    def count(b: Column, c: str) -> Column:
+        return F.octet_length(F.replace(b, F.lit(c), F.lit("")))
+
+    def even(b: Column) -> Column:
+        return (count(b, "(") == count(b, ")")) & (count(b, "[") == count(b, "]")) & (count(b, "{") == count(b, "}"))
+
+    def step(stack: Column, c: Column) -> Column:
+        match = F.translate(c, ")]}", "([{")
+        popped = F.when(F.right(stack, F.lit(1)) == match, F.left(stack, F.length(stack) - 1)).otherwise("!")
+        return F.when(stack == "!", stack).when(c.isin("(", "[", "{"), F.concat(stack, c)).otherwise(popped)
+
+    def over_a_stack(b: Column) -> Column:
+        # Behind the last character there is an empty piece.
+        return F.aggregate(F.filter(F.split(b, ""), lambda c: c != ""), F.lit(""), step) == ""
+
+    return bind(rest, lambda b: F.when(b == "", True).otherwise(even(b) & over_a_stack(b)))
 
 
 def unfold(text: Column) -> Column:
-    return F.replace(text, F.lit(FOLD), F.lit("\n"))
+    return unguard(F.replace(text, F.lit(FOLD), F.lit("\n")))
 
 
 def package_name(folded: Column) -> Column:
@@ -47,7 +96,7 @@ def import_paths(folded: Column) -> Column:
     first_other = F.regexp_instr(folded, F.lit(r"(?m)^(?:func|var|const|type)\b"))
     header = F.when(first_other > 0, F.substr(folded, F.lit(1), first_other - 1)).otherwise(folded)
     bare = F.regexp_replace(header, r"//[^\n]*|/\*[^\n]*?\*/", "")
-    return F.regexp_extract_all(bare, F.lit(r"""["`]([^"`\n]+)["`]"""), F.lit(1))
+    return F.transform(F.regexp_extract_all(bare, F.lit(r"""["`]([^"`\n]+)["`]"""), F.lit(1)), unguard)
 
 
 # A line up to its trailing comment.
@@ -80,10 +129,10 @@ def _doc_text(doc_lines: Column) -> Column:
         F.filter(doc_lines, lambda l: ~l.rlike(r"^//(?:line |extern |export |[a-z0-9]+:[a-z0-9])")),
         lambda l: F.when(
             l.startswith("//"), F.regexp_replace(l, r"^// ?", "")
-        ).otherwise(unfold(F.regexp_replace(l, r"^/\*|\*/\s*$", ""))),
+        ).otherwise(F.replace(F.regexp_replace(l, r"^/\*|\*/\s*$", ""), F.lit(FOLD), F.lit("\n"))),
     )
     text = F.regexp_replace(F.array_join(plain, "\n"), r"(?m)[ \t\r]+$", "")
-    return trim_space(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    return unguard(trim_space(F.regexp_replace(text, r"\n{3,}", "\n\n")))
 
 
 def _is_comment(line: Column) -> Column:
@@ -113,7 +162,7 @@ def declarations(folded: Column) -> Column:
 
     def line_numbers(fenced: Column) -> Column:
         """Of every fence, in order: the place of its line among all lines, those inside literals included."""
-        lines = F.split(fenced, f"[\n{FOLD}]", -1)
+        lines = F.split(F.replace(fenced, F.lit(FOLD), F.lit("\n")), "\n", -1)
         return F.array_compact(F.transform(lines, lambda line, i: F.when(line.startswith(_FENCE), i + 1)))
 
     def piece(chunk: Column, i: Column) -> Column:

@@ -1,9 +1,9 @@
 """HTML as marked-up strings: one pass per concern, no parser and no Python in the tasks.
 
-Control characters \\x01-\\x05 serve as markers and are removed from the input first:
+Control characters \\x01-\\x05 serve as markers; where a page has them itself it is guarded first and unguarded at the end:
 
-    \\x01H heading start   \\x01P paragraph start   \\x01C code block   \\x01X any other block boundary
-    \\x02 fences around raw text while it is being protected
+    \\x01H heading start   \\x01P paragraph   \\x01C code block
+    \\x02 fences around raw text while it is being protected, later in front of each tag name, and \\x03 behind it
     \\x04 stands for '<' and \\x05 for '&' inside raw text
 """
 
@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.entities import decode_entities, mask
-from millrace.functions.text import unix_lines, without
+from millrace.functions.entities import decode_guarded, mask
+from millrace.functions.htmltree import KINDS, TAGS, text_ranges
+from millrace.functions.let import bind
+from millrace.functions.text import guard, unguard, unix_lines
 
 # The rest of a tag: quoted attribute values may hold '>'. Possessive loops run without recursion.
 _REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
@@ -22,14 +24,6 @@ _AFTER_NAME = rf"(?:>|[\s/]{_REST})"
 # Elements whose content is text, never markup.
 RAW_TEXT = ("script", "style", "noscript", "iframe", "noembed", "noframes", "xmp", "textarea", "title")
 
-# Elements whose start or end tag closes an open paragraph.
-BLOCKS = (
-    "address", "article", "aside", "blockquote", "caption", "center", "dd", "details", "dialog", "dir",
-    "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "header", "hgroup", "hr",
-    "li", "listing", "main", "menu", "nav", "ol", "search", "section", "summary", "table", "tbody",
-    "td", "tfoot", "th", "thead", "tr", "ul",
-)
-
 # Every pattern starts with a plain '<', so that text between tags is passed over quickly. Each ends with
 # the alternative of any tag, which takes an unclosed one up to the end of the page: a match always moves on, and no
 # part of a broken page is scanned from many starts.
@@ -40,11 +34,10 @@ _RAW = r"(?is)<(?:!--.*?(?:--!?>|\z)" + "".join(
 ) + rf")|({_ANY})"
 # Of any other tag there is an empty piece and the tag behind it.
 _RAW_FENCED = "\x02" + "".join(f"${i + 1}" for i in range(len(RAW_TEXT))) + f"\x02${len(RAW_TEXT) + 1}"
-_PRE = rf"(?is)<(pre){_AFTER_NAME}(.*?)(?:</pre\s*>|\z)|({_ANY})"
-_PRE_FENCED = "\x02$1|$2\x02$3"
-_HEADING = rf"(?is)\A<h[123]{_AFTER_NAME}\z"
-_PARAGRAPH = rf"(?is)\A<p{_AFTER_NAME}\z"
-_BLOCK = rf"(?is)\A<(?:/p|/?(?:{'|'.join(BLOCKS)}|h[1-6])){_AFTER_NAME}\z"
+# Tags that make the tree; of any other there is an empty name.
+_NAMED = rf"(?is)<(/?(?:{'|'.join(sorted(TAGS, key=len, reverse=True))})){_AFTER_NAME}|{_ANY}"
+_STANDARDS = "\x01"
+_DOCTYPE = r"(?is)\A\s*+<!doctype\s++html"
 _ANCHOR = rf"""(?is)<a[\s/]((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|{_ANY}"""
 _ATTRIBUTE = r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
 
@@ -58,28 +51,39 @@ def _fenced(text: Column, protect) -> Column:
 
 
 def protect_raw_text(html: Column) -> Column:
-    """Drop comments and the tags of raw-text elements; keep that text safe from later passes."""
-    clean = without(unix_lines(html), "\x01\x02\x03\x04\x05")
-    return _fenced(F.regexp_replace(clean, _RAW, _RAW_FENCED), mask)
+    """Drop comments and the tags of raw-text elements; keep that text safe from later passes. The result is guarded."""
+    return _fenced(F.regexp_replace(guard(unix_lines(html)), _RAW, _RAW_FENCED), mask)
+
 
+def mark_blocks(html: Column) -> Column:
+    """Headings, paragraphs and code blocks of a page in the order in which they begin, each behind its marker.
 
-def strip_tags(html: Column) -> Column:
-    return F.regexp_replace(html, _TAG, "")
+    References are decoded; the text is guarded. A heading or paragraph has all text inside of it, also that of blocks
+    which come again on their own.
+    """
+    # What is in front of the first tag is in no element: it says whether the page has a doctype instead.
+    mode = F.when(html.rlike(_DOCTYPE), _STANDARDS).otherwise("")
+    named = F.concat(mode, F.regexp_replace(protect_raw_text(html), _NAMED, "\x02$1\x03"))
+    pieces = F.split(decode_guarded(F.replace(named, F.lit("\x02\x03"), F.lit(""))), "\x02", -1)
 
+    def parts(pieces: Column) -> Column:
+        tags = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.lower(F.substring_index(p, "\x03", 1)))
+        texts = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.substring_index(p, "\x03", -1))
+        return F.struct(tags.alias("tags"), texts.alias("texts"), F.get(pieces, F.lit(0)).startswith(_STANDARDS).alias("standards"))
 
-def mark_blocks(html: Column) -> Column:
-    """Reduce a page to its text with \\x01 markers at block boundaries, references decoded."""
+    def marked(tags: Column, texts: Column, standards: Column) -> Column:
+        ranges = text_ranges(tags, standards)
+        return F.array_join(F.transform(ranges, lambda r: F.concat(_marker(r["kind"]), F.array_join(F.slice(texts, r["start"] + 1, r["end"] - r["start"]), ""))), "")
 
-    def code(s: Column) -> Column:
-        text = F.concat(F.lit("\x01C"), strip_tags(F.substr(s, F.lit(len("pre|") + 1))), F.lit("\x01X"))
-        return F.when(s.startswith("|"), "").otherwise(text)
+    return bind(bind(pieces, parts), lambda p: marked(p["tags"], p["texts"], p["standards"]))
 
-    def marker(tag: Column) -> Column:
-        kind = F.when(tag.rlike(_HEADING), "\x01H").when(tag.rlike(_PARAGRAPH), "\x01P")
-        return kind.when(tag.rlike(_BLOCK), "\x01X").otherwise("")
 
-    text = _fenced(F.regexp_replace(protect_raw_text(html), _PRE, _PRE_FENCED), code)
-    return decode_entities(_fenced(F.regexp_replace(text, _TAG, "\x02$0\x02"), marker))
+def _marker(kind: Column) -> Column:
+    first, *others = KINDS.items()
+    found = F.when(kind == first[0], f"\x01{first[1]}")
+    for name, letter in others:
+        found = found.when(kind == name, f"\x01{letter}")
+    return found
 
 
 def anchor_hrefs(html: Column) -> Column:
@@ -94,6 +98,6 @@ def anchor_hrefs(html: Column) -> Column:
         return F.filter(named, lambda v: v.isNotNull())
 
     def plain(value: Column) -> Column:
-        return decode_entities(F.regexp_replace(value, r"""^["']|["']$""", ""), in_attribute=True)
+        return unguard(decode_guarded(F.regexp_replace(value, r"""^["']|["']$""", ""), in_attribute=True))
 
     return F.transform(F.flatten(F.transform(tags, hrefs)), plain)

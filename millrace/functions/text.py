@@ -43,8 +43,27 @@ def unix_lines(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
-def without(text: Column, characters: str) -> Column:
-    """Remove single characters; strings that have none pass uncopied."""
-    for c in characters:
-        text = F.replace(text, F.lit(c), F.lit(""))
+# Markers that expressions put into texts, and what stands for each of them where a text has it itself.
+MARKERS = "\x01\x02\x03\x04\x05"
+_ESCAPE = "\x06"
+_ESCAPED = {_ESCAPE: f"{_ESCAPE}0", **{c: f"{_ESCAPE}{i + 1}" for i, c in enumerate(MARKERS)}}
+
+
+def guard(text: Column) -> Column:
+    """Free a text of marker characters, reversibly; strings that have none pass uncopied."""
+    for c, stand_in in _ESCAPED.items():
+        text = F.replace(text, F.lit(c), F.lit(stand_in))
     return text
+
+
+def unguard(text: Column) -> Column:
+    """Bring back what `guard` replaced."""
+    for c, stand_in in reversed(_ESCAPED.items()):
+        text = F.replace(text, F.lit(stand_in), F.lit(c))
+    return text
+
+
+def guarded_character(code: Column) -> Column:
+    """What `guard` makes of the character with a number up to that of the escape; NULL for other numbers."""
+    numbers = {ord(c): stand_in for c, stand_in in _ESCAPED.items()}
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair)), code.cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import gosource
 from millrace.functions.html import mark_blocks
 from millrace.functions.let import bind
-from millrace.functions.text import first_line, head_contains, trim_space
+from millrace.functions.text import first_line, head_contains, trim_space, unguard
 
 # What marks a file as machine-written, and how far into it that is looked for.
 FILE_MARKERS = ("DO NOT EDIT", "Code generated")
@@ -30,11 +30,10 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
     """One row per top-level function or method of each file (`path`, `src`).
 
     `body` is the source text including the doc comment, `imports` every import of the file, and
-    `line_number` the line of the `func` keyword. Comments in bodies stay. Files are not parsed: one
-    that would not compile still gives the functions that can be recognised. Text without a package
-    clause gives none.
+    `line_number` the line of the `func` keyword. Comments in bodies stay. A file whose first code is not a package clause, whose
+    brackets don't match or that leaves a literal or comment open gives no unit; other errors are not looked for.
     """
-    folded = files.select("path", gosource.fold(F.col("src")).alias("folded"))
+    folded = files.select("path", gosource.fold(F.col("src")).alias("file"))
 
     # What the file says of all its units is made in the exploded array as well: beside it, it would be made
     # again from the whole text for every unit.
@@ -45,14 +44,15 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
             lambda u: F.struct(*[u[f].alias(f) for f in fields], package.alias("package"), imports.alias("imports")),
         )
 
-    text = F.col("folded")
+    text = F.col("file.folded")
     units = folded.select(
         "path",
         F.explode(
-            bind(
-                gosource.package_name(text),
-                lambda package: F.when(
-                    package != "", bind(gosource.import_paths(text), lambda imports: of_file(text, package, imports))
+            F.when(
+                F.col("file.sound"),
+                bind(
+                    gosource.package_name(text),
+                    lambda package: bind(gosource.import_paths(text), lambda imports: of_file(text, package, imports)),
                 ),
             )
         ).alias("unit"),
@@ -86,10 +86,10 @@ def prose_sections(pages: DataFrame) -> DataFrame:
         def of_kind(letter):
             chosen = F.filter(tokens, lambda t: t.startswith(letter))
             texts = F.transform(chosen, lambda t: trim_space(F.substr(t, F.lit(2))))
-            return F.filter(texts, lambda t: t != "")
+            return F.transform(F.filter(texts, lambda t: t != ""), unguard)
 
         return F.struct(
-            F.when(i > 0, F.get(pieces, F.lit(0))).otherwise(F.lit("")).alias("title"),
+            unguard(F.when(i > 0, F.get(pieces, F.lit(0))).otherwise(F.lit(""))).alias("title"),
             F.array_join(of_kind("P"), "\n").alias("prose"),
             of_kind("C").alias("code_blocks"),
         )

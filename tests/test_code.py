@@ -122,10 +122,43 @@ def test_signature_from_body_is_the_doc_line(spark):
 
 
 def test_other_layouts(spark):
-    odd = "\ufeffpackage p\nfunc A() {\n  if x {\n  }\n  }\nvar y = 1\n\nfunc B() {\n}\n/* open\nfunc C() {\n}\n"
+    odd = "\ufeffpackage p\nfunc A() {\n  if x {\n  }\n  }\nvar y = 1\n\nfunc B() {\n}\n/* closed\nfunc C() {\n}\n*/"
     assert [u["body"] for u in units(spark, ("o.go", odd))] == ["func A() {\n  if x {\n  }\n  }", "func B() {\n}"]
 
 
+BROKEN = [
+    "func A() {\n", "func A() {\n}\n}\n", "func A() {\n\tx := (1]\n}\n", "var s = `open\nfunc A() {\n}\n", 'var s = "open\nfunc A() {\n}\n',
+    "var c = 'x\nfunc A() {\n}\n", "func A() {\n}\n/* open", "func A() {\n}\n/*/", "func A() {\n}\nvar x = ({)}\n", "func A() {\n}" + "}{",
+]
+WHOLE = [
+    "func A() {\n\tx := a / b // ` \" ' {\n}\n", "func A() {\n\t_ = '{' + '\\'' + \"}\\\"\" + `((`\n}\n", "func A() {\n}\n/* { **/", "func A() {\n}\n/**/",
+    "var x = " + "[" * 40 + "({})" + "]" * 40 + "\nfunc A() {\n}\n", "func A() {\n" + "\tif x {\n" * 30 + "\t}\n" * 30 + "}\n",
+]
+
+
+def test_files_that_do_not_parse_give_no_units(spark):
+    files = [(f"b{i}.go", "package p\n" + text) for i, text in enumerate(BROKEN)]
+    files += [("n1.go", "import \"os\"\npackage p\nfunc A() {\n}\n"), ("n2.go", "// package p\nfunc A() {\n}\n"), ("n3.go", None), ("n4.go", "")]
+    assert units(spark, *files) == []
+    whole = [(f"w{i}.go", "/* c */ // d\n\npackage p; " + text) for i, text in enumerate(WHOLE)]
+    whole = [(p, s.replace("; ", "\n", 1)) for p, s in whole]
+    assert [(u["file_path"], u["name"]) for u in units(spark, *whole)] == [(p, "A") for p, _ in whole]
+
+
+def test_deep_brackets(spark):
+    n = 20_000
+    files = [("deep.go", "package p\nvar x = " + "(" * n + ")" * n + "\nfunc A() {\n}\n"), ("open.go", "package p\nvar x = " + "(" * n + "\nfunc A() {\n}\n")]
+    assert [u["file_path"] for u in units(spark, *files)] == ["deep.go"]
+
+
+def test_every_character_is_kept(spark):
+    odd = "\x01\x02\x03\x04\x05\x06\x061"
+    text = f"package p\n\nimport \"a{odd}\"\n\n// A {odd}.\nfunc A() string {{\n\treturn `{odd}\n{odd}`\n}}\n"
+    one, two = units(spark, ("a.go", text), ("b.go", text.replace("\x02\x03", "\x03\x02")))
+    assert one["body"] == text[text.index("// A") : -1] and one["doc"] == f"A {odd}." and one["imports"] == [f"a{odd}"]
+    assert one["body"] != two["body"] and one["line_number"] == 6
+
+
 def test_literals_comments_and_layouts(spark):
     found = {u["name"]: u for u in units(spark, ("t.go", TRICKY))}
     assert list(found) == ["Raw", "external", "one", "generic", "Map", "Last"]
