@@ -283,6 +283,16 @@ heads AS (
     SELECT path, regexp_extract(src, '(?m)^package[ \\t]+([^\\s;/]+)', 1) AS package,
         regexp_extract_all(regexp_replace(regexp_extract(src, '(?s)^(.*?)\\n(?:func|var|const|type)\\b', 1),
             '//[^\\n]*', '', 'g'), '{_IMPORT}', 1) AS imports FROM folded),
+brackets AS (
+    SELECT path, unnest(x) AS c, unnest(range(len(x))) AS i
+    FROM (SELECT path, regexp_extract_all(array_to_string(b, ' '), '[(){{}}\\[\\]]') AS x FROM tokens)),
+levels AS (
+    SELECT path, c, i, c IN (')', ']', '}}') AS closes, sum(CASE WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY path ORDER BY i)
+        + CASE WHEN closes THEN 1 ELSE 0 END AS level FROM brackets),
+couples AS (
+    SELECT path, level, c || coalesce(lead(c) OVER same, '') AS couple, row_number() OVER same AS k
+    FROM levels WINDOW same AS (PARTITION BY path, level ORDER BY i)),
+unbalanced AS (SELECT path FROM couples WHERE level < 1 OR (k % 2 = 1 AND couple NOT IN ('()', '[]', '{{}}'))),
 lines AS (
     SELECT path, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS ln
     FROM (SELECT path, string_split(src, chr(10)) AS l FROM folded)),
@@ -315,7 +325,7 @@ found AS (
         regexp_extract(declaration, '^func \\((?:\\w+ )?([^)]+)\\)', 1) AS receiver,
         trim(replace(regexp_replace(regexp_replace(regexp_replace(replace(note, '*/', ''), '(?m)^//go:.*\\n?', '', 'g'),
             '(?m)^(// ?|/\\*)', '', 'g'), '(?m) +$', '', 'g'), chr(2), chr(10)), ' ' || chr(10)) AS doc
-    FROM texts t JOIN heads h USING (path) WHERE h.package <> '')"""
+    FROM texts t JOIN heads h USING (path) WHERE h.package <> '' AND path NOT IN (SELECT path FROM unbalanced))"""
 
 
 _SOURCE_UNITS = _units_of(_FILES)
