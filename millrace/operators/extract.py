@@ -32,8 +32,10 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
     `body` is the source text including the doc comment, `imports` every import of the file, and
     `line_number` the line of the `func` keyword. Comments in bodies stay. A file whose first code is not a package clause, whose
     brackets don't match or that leaves a literal or comment open gives no unit; other errors are not looked for.
+    Other columns of the files are repeated with their units.
     """
-    folded = files.select("path", gosource.fold(F.col("src")).alias("file"))
+    others = [c for c in files.columns if c not in ("path", "src")]
+    folded = files.select("path", *others, gosource.fold(F.col("src")).alias("file"))
 
     # What the file says of all its units is made in the exploded array as well: beside it, it would be made
     # again from the whole text for every unit.
@@ -47,6 +49,7 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
     text = F.col("file.folded")
     units = folded.select(
         "path",
+        *others,
         F.explode(
             F.when(
                 F.col("file.sound"),
@@ -68,6 +71,7 @@ def code_units(files: DataFrame, signature_from_body: bool = False) -> DataFrame
         "unit.imports",
         F.col("path").alias("file_path"),
         "unit.line_number",
+        *others,
     )
 
 

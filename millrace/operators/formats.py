@@ -19,6 +19,8 @@ JUDGE_PROMPT = (
     "Code to evaluate:\n%s"
 )
 MIN_FIM_BYTES = 10
+#: The two directions of a code block.
+PAIR_CATEGORIES = ("prose_to_code", "code_to_prose")
 _CUT_COLUMNS = ("_size", "_cut", "_resume")
 
 EXAMPLE_COLUMNS = ("text", "instruction", "output", "source", "category")
@@ -107,12 +109,12 @@ def prose_pairs(sections: DataFrame) -> DataFrame:
     blocks = sections.select("*", F.posexplode("code_blocks").alias("block_no", "code"))
     pair = F.array(
         F.struct(
-            F.col("prose").alias("instruction"), F.col("code").alias("output"), F.lit("prose_to_code").alias("category")
+            F.col("prose").alias("instruction"), F.col("code").alias("output"), F.lit(PAIR_CATEGORIES[0]).alias("category")
         ),
         F.struct(
             F.concat(F.lit(EXPLAIN), F.col("code")).alias("instruction"),
             F.col("prose").alias("output"),
-            F.lit("code_to_prose").alias("category"),
+            F.lit(PAIR_CATEGORIES[1]).alias("category"),
         ),
     )
     kept = [c for c in sections.columns if c not in ("title", "prose", "code_blocks")]

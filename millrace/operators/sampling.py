@@ -48,65 +48,80 @@ def eval_size(n: Column, split: float) -> Column:
 def train_eval_split(df: DataFrame, keys: Sequence[str], split: float = 0.1) -> DataFrame:
     """Add `split`: exactly the first `eval_size` rows in shuffled order are 'eval'.
 
-    Nothing is ranked globally. Row counts per bucket of the draw (at most 65,536 rows) tell in which
-    bucket the last eval row lies; only that bucket's keys are ranked, and the row found becomes the
-    threshold every row is compared with. Both steps read the draw and key columns only. The keys have to be
-    unique: rows that tie with the threshold all go to the same side.
+    Nothing is ranked globally. Row counts by the upper half of the draw's bits (at most 65,536 rows) tell in which
+    bucket the last eval row lies, counts by the lower half in that bucket tell its draw, and only keys with
+    exactly that draw are ranked: one in 2^32 of all. The row found becomes the threshold every row is compared with. All
+    steps read the draw and key columns only. The keys have to be unique: rows that tie with the threshold all go to the same side.
     """
     position = F.struct("shuffle_draw", *keys)
-    bucket = F.shiftright("shuffle_draw", 32 - _BUCKET_BITS)
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    ordered = Window.orderBy("bucket")
-    totals = counts.select(
-        "bucket",
-        F.sum("rows").over(ordered).alias("upto"),
-        (F.sum("rows").over(ordered) - F.col("rows")).alias("before"),
-        eval_size(F.sum("rows").over(Window.orderBy(F.lit(1)).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing)), split).alias("wanted"),
-    )
+    counts = df.groupBy(_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wanted = counts.withColumn("nth", eval_size(F.sum("rows").over(everything), split))
     # One struct, so that both uses are the same subquery and run once.
-    boundary = (
-        totals.where("before < wanted AND wanted <= upto")
-        .select(F.struct("bucket", (F.col("wanted") - F.col("before")).alias("rank")).alias("b"))
-        .scalar()
-    )
-    ranked = (
-        df.select("shuffle_draw", *keys)
-        .where(bucket == boundary["bucket"])
-        .withColumn("_rank", F.row_number().over(Window.orderBy("shuffle_draw", *keys)))
-    )
-    last = ranked.where(F.col("_rank") == boundary["rank"]).select(position.alias("p"))
+    bucket = _holder(wanted, "bucket").select(F.struct("bucket", "nth").alias("b")).scalar()
+    draws = df.where(_bucket() == bucket["bucket"]).groupBy("shuffle_draw").agg(F.count(F.lit(1)).alias("rows"))
+    drawn = _holder(draws.withColumn("nth", bucket["nth"]), "shuffle_draw").select(F.struct("shuffle_draw", "nth").alias("d")).scalar()
+    tied = df.select("shuffle_draw", *keys).where(F.col("shuffle_draw") == drawn["shuffle_draw"])
+    ranked = tied.withColumn("_rank", F.row_number().over(Window.orderBy(*keys)))
+    last = ranked.where(F.col("_rank") == drawn["nth"]).select(position.alias("p"))
     in_eval = F.coalesce(position <= last.scalar(), F.lit(False))
     return df.withColumn("split", F.when(in_eval, "eval").otherwise("train"))
 
 
-def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, split: float = 0.1) -> DataFrame:
-    """Add `split`: in each stratum exactly the first `eval_size` rows in shuffled order are 'eval'.
+def _bucket() -> Column:
+    return F.shiftright("shuffle_draw", 32 - _BUCKET_BITS)
 
-    As in `train_eval_split`, for all strata in one pass: only the keys of each stratum's boundary bucket
-    are ranked. NULL is a stratum of its own, a stratum of one row is 'train'. The keys have to be unique.
-    """
-    bucket = F.shiftright("shuffle_draw", 32 - _BUCKET_BITS)
-    position = F.struct("shuffle_draw", *keys)
-    counts = df.groupBy(F.col(stratum).alias("_stratum"), bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    one = Window.partitionBy("_stratum")
-    upto = F.sum("rows").over(one.orderBy("_bucket"))
-    totals = counts.select(
-        "_stratum", "_bucket", (upto - F.col("rows")).alias("before"), upto.alias("upto"),
-        eval_size(F.sum("rows").over(one), split).alias("wanted"),
-    )
-    boundary = totals.where("before < wanted AND wanted <= upto").withColumn("_nth", F.col("wanted") - F.col("before"))
+
+def _holder(counts: DataFrame, by: str, within: str | None = None) -> DataFrame:
+    """Of counted groups (`rows`) in the order of `by` the one that holds row number `nth`, which is counted inside it then."""
+    ordered = Window.partitionBy(within).orderBy(by) if within else Window.orderBy(by)
+    before = counts.withColumn("_before", F.sum("rows").over(ordered) - F.col("rows"))
+    held = before.where((F.col("_before") < F.col("nth")) & (F.col("nth") <= F.col("_before") + F.col("rows")))
+    return held.withColumn("nth", F.col("nth") - F.col("_before")).drop("_before", "rows")
+
+
+def _last_positions(df: DataFrame, keys: Sequence[str], stratum: str, split: float) -> DataFrame:
+    """`_stratum, _last`: draw and keys of the last eval row of each stratum that has one."""
     met = F.col(stratum).eqNullSafe(F.col("_stratum"))
-    near = df.select(stratum, "shuffle_draw", *keys).join(
-        boundary.select("_stratum", "_bucket", "_nth"), met & (bucket == F.col("_bucket"))
-    )
-    rank = F.row_number().over(one.orderBy("shuffle_draw", *keys))
-    last = near.select("_stratum", "_nth", position.alias("_last"), rank.alias("_rank")).where("_rank = _nth")
-    joined = df.join(_small_side(last.select("_stratum", "_last"), "strata"), met, "left")
+    named = F.col(stratum).alias("_stratum")
+    counts = df.groupBy(named, _bucket().alias("_bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    wanted = counts.withColumn("nth", eval_size(F.sum("rows").over(Window.partitionBy("_stratum")), split))
+    buckets = _holder(wanted, "_bucket", "_stratum")
+    near = df.select(stratum, "shuffle_draw").join(buckets, met & (_bucket() == F.col("_bucket")))
+    draws = near.groupBy("_stratum", "nth", F.col("shuffle_draw").alias("_draw")).agg(F.count(F.lit(1)).alias("rows"))
+    drawn = _holder(draws, "_draw", "_stratum")
+    tied = df.select(stratum, "shuffle_draw", *keys).join(drawn, met & (F.col("shuffle_draw") == F.col("_draw")))
+    rank = F.row_number().over(Window.partitionBy("_stratum").orderBy(*keys))
+    last = tied.select("_stratum", "nth", F.struct("shuffle_draw", *keys).alias("_last"), rank.alias("_rank"))
+    return last.where("_rank = nth").select("_stratum", "_last")
+
+
+def _labelled(df: DataFrame, position: Column, last: DataFrame, stratum: str) -> DataFrame:
+    joined = df.join(_small_side(last, "strata"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     in_eval = F.coalesce(position <= F.col("_last"), F.lit(False))
     return joined.withColumn("split", F.when(in_eval, "eval").otherwise("train")).drop("_stratum", "_last")
 
 
+def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, split: float = 0.1) -> DataFrame:
+    """Add `split`: in each stratum exactly the first `eval_size` rows in shuffled order are 'eval'.
+
+    As in `train_eval_split`, for all strata in one pass. NULL is a stratum of its own, a stratum of one row is 'train'.
+    The keys have to be unique.
+    """
+    return _labelled(df, F.struct("shuffle_draw", *keys), _last_positions(df, keys, stratum, split), stratum)
+
+
+def grouped_split(df: DataFrame, group: str, stratum: str, seed: int, split: float = 0.1) -> DataFrame:
+    """Add `split`: in each stratum exactly the first `eval_size` groups in shuffled order are 'eval', with all their rows.
+
+    The draw is the group's, so rows find their side without meeting the others of the group. A group lies in one stratum.
+    """
+    drawn = df.withColumn("_group_draw", draw(digest(seed, (group,)), "shuffle"))
+    groups = drawn.select(stratum, group, F.col("_group_draw").alias("shuffle_draw")).distinct()
+    last = _last_positions(written_table(groups, "groups"), (group,), stratum, split)
+    return _labelled(drawn, F.struct(F.col("_group_draw").alias("shuffle_draw"), group), last, stratum).drop("_group_draw")
+
+
 def oversample(df: DataFrame, weights: DataFrame, by: str, where: Column | None = None) -> DataFrame:
     """Repeat each row `ceil(effective_weight)` times, at least once, and number the copies in `copy_no`.
 

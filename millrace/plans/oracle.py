@@ -536,12 +536,37 @@ ORACLE["request_metrics_stream"] = ORACLE["request_metrics"]
 
 ORACLE["min_file_lines"] = f"SELECT path, src FROM ({_FILES}) WHERE length(src) - length(replace(src, chr(10), '')) + 1 >= 40"
 _ALL = f"""
-SELECT 'code-' || doc_id AS example_id, split_part(source, '/', 1) AS origin, category, text, instruction, output
+SELECT 'code-' || doc_id AS example_id, 'code-' || doc_id AS group_id, split_part(source, '/', 1) AS origin, category, text,
+       instruction, output
 FROM (WITH {_EXAMPLES} SELECT * FROM examples)
 UNION ALL
-SELECT category || '-' || page_id || '-' || section_no || '-' || block_no, 'articles', category, '', instruction, output
+SELECT category || '-' || page_id || '-' || section_no || '-' || block_no, page_id || '-' || section_no || '-' || block_no,
+       'articles', category, '', instruction, output
 FROM ({ORACLE['prose_pairs']})"""
-ORACLE["merge_sources"] = f"""
-WITH {_drawn(_ALL, 'example_id')}, {_stratified('drawn', 'category', 'example_id')}
-SELECT example_id, origin, category, split, text, instruction, output, CAST(unnest(range(1, 1 +
-    CASE WHEN split = 'eval' OR origin = 'articles' THEN 1 ELSE {_COPIES} END)) AS INT) AS copy_no FROM labelled"""
+
+
+def _merged(examples: str) -> str:
+    """Groups are ranked in their kind of example, rows follow their group."""
+    return f"""
+WITH every AS ({examples}),
+kinds AS (SELECT *, CASE WHEN category IN ('fim', 'instruction') THEN category ELSE 'pair' END AS kind FROM every),
+drawn AS (SELECT DISTINCT kind, group_id, {_draw('group_id', 17)} AS shuffle_draw FROM kinds),
+{_stratified('drawn', 'kind', 'group_id')},
+sided AS (SELECT k.*, l.split FROM kinds k JOIN labelled l USING (kind, group_id))
+SELECT example_id, group_id, origin, category, split, text, instruction, output, CAST(unnest(range(1, 1 +
+    CASE WHEN split = 'eval' OR kind = 'pair' THEN 1 ELSE {_COPIES} END)) AS INT) AS copy_no FROM sided"""
+
+
+ORACLE["merge_sources"] = f"SELECT * EXCLUDE (group_id) FROM ({_merged(_ALL)})"
+_BUILT = f"""
+SELECT sha256('{views.SEED}|code|' || sha256(body)) AS example_id, example_id AS group_id, split_part(source, '/', 1) AS origin,
+       category, text, instruction, output
+FROM (WITH {_units_of(_CODE)},
+kept AS ({_KEPT}), {_drawn('SELECT * FROM kept', "file_path || '|' || line_number")},{_FORMATTED} SELECT * FROM examples)
+UNION ALL
+SELECT sha256('{views.SEED}|' || category || '|' || page_id || '|0|' || url || '|' || section_no || '|' || block_no),
+       sha256('{views.SEED}|' || CASE category WHEN 'prose_to_code' THEN sha256(instruction) || '|' || sha256(output)
+           ELSE sha256(output) || '|' || sha256(substr(instruction, {len(EXPLAIN) + 1})) END),
+       url, category, '', instruction, output
+FROM ({ORACLE['prose_pairs']}) JOIN pages USING (page_id)"""
+ORACLE["build_from_sources"] = _merged(_BUILT)

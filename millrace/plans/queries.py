@@ -330,16 +330,29 @@ def oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as code and pages as articles in one dataset; articles have no weight."""
+    key = F.concat(F.lit("code-"), "doc_id")
     code = _examples(spark, sf_dir).withColumns(
-        {"origin": F.split_part("source", F.lit("/"), F.lit(1)), "example_id": F.concat(F.lit("code-"), "doc_id")}
+        {"origin": F.split_part("source", F.lit("/"), F.lit(1)), "example_id": key, "group_id": key}
     )
+    place = ("page_id", "section_no", "block_no")
     pairs = formats.prose_pairs(extract.prose_sections(views.articles(spark, sf_dir))).withColumns(
-        {"origin": F.lit("articles"), "example_id": F.concat_ws("-", "category", "page_id", "section_no", "block_no")}
+        {"origin": F.lit("articles"), "example_id": F.concat_ws("-", "category", *place), "group_id": F.concat_ws("-", *place)}
     )
     merged = build.merge_sources(code, pairs, _weights(spark, sf_dir))
     return merged.select("example_id", "origin", "category", "split", "copy_no", "text", "instruction", "output")
 
 
+@query
+def build_from_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source files of all origins and read articles to one weighted dataset, keys from hashes."""
+    code = views.source_files(spark, sf_dir).withColumn("origin", F.split_part("path", F.lit("/"), F.lit(1)))
+    read = views.articles(spark, sf_dir, "url").selectExpr("page_id AS source_id", "CAST(0 AS BIGINT) AS pos", "url", "html AS content")
+    merged = build.merge_sources(
+        build.code_examples(files.select_code_files(code)), build.article_examples(read), _weights(spark, sf_dir)
+    )
+    return merged.select("example_id", "group_id", "origin", "category", "split", "copy_no", "text", "instruction", "output")
+
+
 @query
 def build_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files to shuffled, split examples: the flagship."""

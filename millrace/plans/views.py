@@ -175,8 +175,8 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "documents"), SOURCE_FILES)
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", F.expr(ARTICLE_HTML).alias("html"))
+def articles(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", *others, F.expr(ARTICLE_HTML).alias("html"))
 
 
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -282,3 +282,74 @@ def test_weighted_score_scales_the_weights(spark):
     weights = spark.createDataFrame([("a", 0.15), ("b", 0.05), ("unused", 0.8)], "category string, weight double")
     row = evaluate.weighted_score(results, weights).first()
     assert row.categories == 2 and abs(row.weighted_score - 0.625) < 1e-12
+
+
+PAGE = "<h2>Readers</h2><p>Wrap {n} readers:</p><pre>r{n} := bufio.NewReader(f)\nuse(r{n})</pre><p>and go on.</p>"
+
+
+def test_build_from_sources(spark, fresh_dir):
+    """Repositories, articles and weights of one catalog; no block, body or copy is on both sides."""
+    body = "// Get{n} reads.\nfunc Get{n}(a int) int {{\n\tb := a + {n}\n\treturn b\n}}\n"
+    for repo, numbers in (("one/src", range(40)), ("two", range(30, 60))):
+        write_tree(f"{fresh_dir}/{repo}", {f"p{n}/f.go": "package p\n\n" + body.format(n=n) for n in numbers})
+    write_tree(f"{fresh_dir}/two", {"vendor/v.go": "package v\n\n" + body.format(n=99), "two.md": "x", "bad.go": "package p\n" + body.format(n=77) + "{"})
+    write_tree(f"{fresh_dir}/two/vendored", {"v.go": "package v\n\n" + body.format(n=98)})
+    write_tree(f"{fresh_dir}/vendor/three", {"t.go": "package t\n\n" + body.format(n=97)})
+    text = {
+        "repos": [
+            {"dir": f"{fresh_dir}/one", "path": "src", "weight": 2.5}, {"url": "https://h/two", "dir": f"{fresh_dir}/two/"},
+            {"url": "https://h/clone"}, {"dir": f"{fresh_dir}/none"}, {"dir": f"{fresh_dir}/two/vendored", "weight": 3}, {"dir": f"{fresh_dir}/vendor/three"},
+        ],
+        "articles": [{"url": f"http://a.example/{n}", "type": "single_page"} for n in range(30)] + [{"url": "http://a.example/gone", "type": "single_page"}],
+    }
+    with open(fresh_dir + "/sources.json", "w") as f:
+        json.dump(text, f)
+    # Two pages with the same block.
+    pages = spark.createDataFrame([(f"http://a.example/{n}", PAGE.format(n=max(n, 1))) for n in range(30)], "url string, html string")
+    none = [spark.createDataFrame([], t) for t in ("path string, pos long, url string", "url string, body string", "repo_url string, pos long, content string")]
+    with pytest.warns(UserWarning, match="no folder of repository"):
+        counts = build.build_from_sources(spark, fresh_dir + "/sources.json", fresh_dir + "/out", pages, *none).first()
+    rows = {s: jsonl.read_split(spark, fresh_dir + "/out", s).collect() for s in jsonl.SPLITS}
+    assert counts.total == sum(map(len, rows.values())) and counts.eval == len(rows["eval"]) and counts.fim > 0 and counts.instr > 60
+
+    def blocks(split):
+        out = set()
+        for r in rows[split]:
+            if r.category == "prose_to_code":
+                out.add((r.instruction, r.output))
+            elif r.category == "code_to_prose":
+                out.add((r.output, r.instruction.removeprefix("Explain this Go code:\n\n")))
+            else:
+                out.add(r.text or r.output)
+        return out
+
+    assert not blocks("train") & blocks("eval")
+    pairs = [b for s in jsonl.SPLITS for b in blocks(s) if isinstance(b, tuple)]
+    assert len(pairs) == 29 and sum(isinstance(b, tuple) for b in blocks("eval")) == 2
+    # 40 bodies of the first repository, 20 more of the second, one each of two others; the first has 3 copies of each in train.
+    assert len([b for s in jsonl.SPLITS for b in blocks(s) if not isinstance(b, tuple)]) == 62
+    copies = {}
+    for r in rows["train"]:
+        if r.category in ("fim", "instruction"):
+            copies.setdefault(r.source.removeprefix(fresh_dir).split("/")[1], []).append(r.text or r.output)
+    assert {len(v) / len(set(v)) for v in (copies["one"],)} == {3.0} and sum("Get98" in x for x in copies.get("two", [])) in (0, 3)
+
+
+def test_groups_stay_together_and_are_counted(spark):
+    rows = spark.range(3000).selectExpr("id", "concat('g', id % 700) AS g", "IF(id % 700 < 200, 'a', NULL) AS c")
+    got = sampling.grouped_split(rows, "g", "c", 42, 0.1).collect()
+    sides: dict = {}
+    for r in got:
+        sides.setdefault((r.c, r.g), set()).add(r.split)
+    assert len(got) == 3000 and all(len(s) == 1 for s in sides.values())
+    assert sum(s == {"eval"} for (c, _), s in sides.items() if c == "a") == 20 and sum(s == {"eval"} for (c, _), s in sides.items() if c is None) == 50
+
+
+def test_split_ranks_rows_of_one_draw_only(spark):
+    """All rows in one bucket, a third of them with one draw."""
+    crowded = spark.range(3000).selectExpr("id AS k", "IF(id % 3 = 0, 70000L, 65536L + id) AS shuffle_draw", "'s' AS c")
+    ranked = sorted((70000 if k % 3 == 0 else 65536 + k, k) for k in range(3000))
+    for split in (0.1, 0.5, 0.9):
+        want = {k for _, k in ranked[: int(3000 * split)]}
+        assert {r.k for r in sampling.train_eval_split(crowded, ("k",), split).collect() if r.split == "eval"} == want
+        assert {r.k for r in sampling.stratified_split(crowded, ("k",), "c", split).collect() if r.split == "eval"} == want
