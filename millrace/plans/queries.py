@@ -11,7 +11,7 @@ from millrace.operators import evaluate, extract, filters, formats, neardup, rou
 from millrace.plans import build, views
 from millrace.plans.views import table
 from millrace.sources import catalog, feeds, files, jsonl, prompts
-from millrace.sources.scratch import scratch_path
+from millrace.sources.scratch import scratch_path, written_table
 from millrace.streaming.metrics import read_running_metrics, write_running_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,7 +153,9 @@ def write_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both splits written and read back."""
     path = scratch_path(spark, "splits")
-    examples = sampling.train_eval_split(_examples(spark, sf_dir), KEYS)
+    # The split reads the draws several times.
+    written = written_table(_examples(spark, sf_dir).select("doc_id", "shuffle_draw", *formats.EXAMPLE_COLUMNS), "examples")
+    examples = sampling.train_eval_split(written, KEYS)
     jsonl.write_splits(examples, path, ("shuffle_draw", *KEYS))
     parts = [jsonl.read_split(spark, path, s).withColumn("split", F.lit(s)) for s in ("train", "eval")]
     return parts[0].unionByName(parts[1])

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.draws import DRAW_RANGE
 from millrace.operators.formats import EXAMPLE_COLUMNS, EXAMPLE_SCHEMA
 
-
 SPLITS = ("eval", "train")
 
 
@@ -25,21 +26,47 @@ def write_jsonl(examples: DataFrame, path: str) -> None:
 
 
 def write_splits(examples: DataFrame, path: str, order: Sequence[str], mode: str = "errorifexists") -> None:
-    """Write `split=eval` and `split=train` folders in one pass, rows in `order` across part files.
+    """Write `split=eval` and `split=train` folders in one job, rows in `order` across the part files of a folder.
 
-    The eval rows come first in shuffled order, so sorting by `split` first changes nothing and also
-    gives the writer the clustering it needs: no second sort. Both folders are there also without rows.
+    `order` begins with a uniform draw from [0, 2^32): its range is dealt into equal parts, so nothing is sampled
+    and `examples` are computed once. The output appears as a whole: it is written beside `path` and renamed
+    at the end, also with both folders where a split has no rows. A write that dies leaves `path` as it was.
     """
-    ordered = examples.orderBy("split", *order)
-    _without_empty_fields(ordered, "split").write.mode(mode).partitionBy("split").json(path)
-    none = examples.sparkSession.createDataFrame([], EXAMPLE_SCHEMA)
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode!r}")
+    spark = examples.sparkSession
+    if mode == "errorifexists" and folder_exists(spark, path):
+        raise FileExistsError(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.floor(F.col(order[0]) * F.lit(n) / F.lit(float(DRAW_RANGE))).cast("int")
+    ordered = examples.repartitionById(n, part).sortWithinPartitions("split", *order)
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    _without_empty_fields(ordered, "split").write.partitionBy("split").json(f"{beside}-new")
+    _, files = _folder(spark, path)
     for split in SPLITS:
-        none.write.mode("append").json(f"{path.rstrip('/')}/split={split}")
+        files.mkdirs(_folder(spark, f"{beside}-new/split={split}")[0])
+    if mode == "overwrite" and folder_exists(spark, path):
+        _renamed(spark, path, f"{beside}-old")
+    _renamed(spark, f"{beside}-new", path)
+    files.delete(_folder(spark, f"{beside}-old")[0], True)
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and file system of a folder."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _renamed(spark: SparkSession, source: str, target: str) -> None:
+    folder, files = _folder(spark, target)
+    # A rename onto a folder that has come up meanwhile would move into it.
+    if files.exists(folder) or not files.rename(_folder(spark, source)[0], folder):
+        raise FileExistsError(target)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -353,3 +353,22 @@ def test_split_ranks_rows_of_one_draw_only(spark):
         want = {k for _, k in ranked[: int(3000 * split)]}
         assert {r.k for r in sampling.train_eval_split(crowded, ("k",), split).collect() if r.split == "eval"} == want
         assert {r.k for r in sampling.stratified_split(crowded, ("k",), "c", split).collect() if r.split == "eval"} == want
+
+
+def test_a_write_that_fails_leaves_what_was_there(spark, fresh_dir):
+    def examples(n, bad="false"):
+        rows = drawn(spark, n).selectExpr("k", "shuffle_draw", f"IF({bad}, raise_error('no'), 'x' || k) AS text")
+        return rows.selectExpr("*", "'' AS instruction", "'' AS output", "'' AS source", "'fim' AS category", "IF(k % 10 = 0, 'eval', 'train') AS split")
+
+    out = f"{fresh_dir}/out"
+    with pytest.raises(Exception, match="no"):
+        jsonl.write_splits(examples(50, "k = 49"), out, ("shuffle_draw", "k"))
+    assert not os.path.exists(out)
+    jsonl.write_splits(examples(50), out, ("shuffle_draw", "k"))
+    with pytest.raises(Exception, match="no"):
+        jsonl.write_splits(examples(70, "k = 3"), out, ("shuffle_draw", "k"), "overwrite")
+    assert [jsonl.read_split(spark, out, s).count() for s in jsonl.SPLITS] == [5, 45]
+    with pytest.raises(FileExistsError):
+        jsonl.write_splits(examples(5), out, ("shuffle_draw", "k"))
+    jsonl.write_splits(examples(1), out, ("shuffle_draw", "k"), "overwrite")
+    assert [jsonl.read_split(spark, out, s).count() for s in jsonl.SPLITS] == [1, 0] and os.path.isdir(f"{out}/split=train")
