@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.jsontext import parse_whole
+from millrace.sources.scratch import small_side, written_table
 
 
 class Route(NamedTuple):
@@ -50,13 +51,58 @@ def route_requests(requests: DataFrame, rules: Sequence[Route], aliases: Mapping
     return requests.withColumn("resolved", resolve_model(rules, aliases, F.col("requested"), F.col("path")))
 
 
+def _search_path(place: int, n: int) -> list[int]:
+    """Places in front of `place` that a binary search among `n` visits on its way there."""
+    low, high, visited = 0, n - 1, []
+    while (middle := (low + high) // 2) != place:
+        if middle < place:
+            visited.append(middle)
+            low = middle + 1
+        else:
+            high = middle - 1
+    return visited
+
+
+def best_prefix_rules(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """`text, rule`: the least `rule` among the patterns (`pattern`, `rule`) that a text begins with, NULL if none does.
+
+    All patterns that fit are beginnings of the longest one, so that one knows the answer. Its length is found by binary search
+    over the distinct lengths: a pattern leaves marks of itself at the lengths where the search must go on to longer ones.
+    One join per step, so a text is probed log2(lengths) times, whatever the number of rules.
+    """
+    spark = texts.sparkSession
+    least = written_table(patterns.groupBy("pattern").agg(F.min("rule").alias("rule")), "patterns")
+    lengths = sorted(r.n for r in least.select(F.length("pattern").alias("n")).distinct().collect())
+    if not lengths:
+        return texts.withColumn("rule", F.lit(None).cast(patterns.schema["rule"].dataType))
+    marks = [(lengths[i], lengths[j]) for i in range(len(lengths)) for j in _search_path(i, len(lengths))]
+    marked = least.join(F.broadcast(spark.createDataFrame(marks, "n int, mark int")), F.length("pattern") == F.col("n"))
+    nodes = least.select(F.col("pattern").alias("node")).union(marked.select(F.expr("left(pattern, mark)"))).distinct()
+    held = F.array(*map(F.lit, lengths))
+    shorter = nodes.select("node", F.explode(F.filter(held, lambda n: n <= F.length("node"))).alias("n"))
+    fits = shorter.select("node", F.expr("left(node, n)").alias("pattern")).join(least, "pattern")
+    best = nodes.join(fits.groupBy("node").agg(F.min("rule").alias("best")), "node", "left").select("node", "best")
+    best = small_side(best, "prefixes")
+    state = texts.select("text", F.lit(0).alias("low"), F.lit(len(lengths) - 1).alias("high"), F.lit(None).cast(patterns.schema["rule"].dataType).alias("rule"))
+    for _ in range(len(lengths).bit_length()):
+        probed = state.withColumn("middle", F.expr("CAST((low + high) DIV 2 AS INT)")).withColumn("n", F.get(held, "middle"))
+        probed = probed.withColumn("probe", F.when((F.col("low") <= F.col("high")) & (F.length("text") >= F.col("n")), F.expr("left(text, n)")))
+        met = probed.join(best, F.col("probe") == F.col("node"), "left")
+        there = F.col("node").isNotNull()
+        state = met.select(
+            "text",
+            F.when(there, F.col("middle") + 1).otherwise(F.col("low")).alias("low"),
+            F.when(there, F.col("high")).otherwise(F.col("middle") - 1).alias("high"),
+            F.when(there, F.col("best")).otherwise(F.col("rule")).alias("rule"),
+        )
+    return state.select("text", "rule")
+
+
 def route_requests_by_table(requests: DataFrame, rules: DataFrame, aliases: DataFrame) -> DataFrame:
     """The same for rules kept as a table of any size (`rule_no`, `path`, `model`, `is_default`, `target`).
 
-    Every pattern is an equality once the request text is cut to the pattern's length, so the match is an
-    equi-join on (kind, text): one probe per distinct pattern length, never rules times requests. Routing
-    depends on (model, path) alone, so only distinct pairs are matched. Each pair is probed once per distinct pattern length, so
-    the work grows with the number of lengths (at most that of the longest pattern), not of rules.
+    Routing depends on path and model alone, so only their distinct values are matched: names by an equi-join, beginnings by
+    `best_prefix_rules`. The first of the rules found for a pair of them wins; never are rules multiplied with requests.
     """
     kind = (
         F.when(F.col("path") != "", "path").when(F.col("model").endswith("*"), "prefix")
@@ -67,47 +113,29 @@ def route_requests_by_table(requests: DataFrame, rules: DataFrame, aliases: Data
         .when(F.col("model").endswith("*"), F.expr("left(model, length(model) - 1)"))
         .otherwise(F.col("model"))
     )
+    served = aliases.select(F.col("alias").alias("_alias"), F.col("model").alias("_served"))
     typed = rules.select("rule_no", "target", kind.alias("kind"), pattern.alias("pattern")).where("kind IS NOT NULL")
-    first = (
-        typed.groupBy(F.concat_ws(":", "kind", "pattern").alias("_probe"))
-        .agg(F.min(F.struct("rule_no", "target")).alias("rule"))
-        .join(aliases.select(F.col("alias").alias("_alias"), F.col("model").alias("_served")),
-              F.col("rule.target") == F.col("_alias"), "left")
-        .select("_probe", "rule.rule_no", F.coalesce("_served", F.lit("")).alias("_served"))
+    typed = typed.join(served, F.col("target") == F.col("_alias"), "left").select(
+        "kind", "pattern", F.struct("rule_no", F.coalesce("_served", F.lit("")).alias("served")).alias("rule")
     )
+    typed = written_table(typed, "rules")
 
-    def lengths(of_kind: str) -> Column:
-        return typed.where(F.col("kind") == of_kind).agg(F.collect_set(F.length("pattern"))).scalar()
-
-    def prefixes(of_kind: str, text: Column) -> Column:
-        cut = f"_{of_kind}_lengths"
-        return F.transform(cut, lambda n: F.concat(F.lit(f"{of_kind}:"), F.substr(text, F.lit(1), n)))
+    def of(which: str) -> DataFrame:
+        return typed.where(F.col("kind") == which).drop("kind")
 
-    pairs = requests.select("requested", "path").distinct().withColumns(
-        {"_path_lengths": lengths("path"), "_prefix_lengths": lengths("prefix")}
-    )
-    probes = pairs.select(
-        "requested",
-        "path",
-        F.explode(
-            F.array_distinct(
-                F.concat(
-                    prefixes("path", F.col("path")),
-                    prefixes("prefix", F.col("requested")),
-                    F.array(F.concat(F.lit("model:"), F.col("requested")), F.lit("default:")),
-                )
-            )
-        ).alias("_probe"),
-    )
+    pairs = written_table(requests.select("requested", "path").distinct(), "routed-pairs")
+    by_path = best_prefix_rules(pairs.select(F.col("path").alias("text")).distinct(), of("path"))
+    by_prefix = best_prefix_rules(pairs.select(F.col("requested").alias("text")).distinct(), of("prefix"))
+    by_name = of("model").groupBy(F.col("pattern").alias("requested")).agg(F.min("rule").alias("_by_name"))
+    default = of("default").agg(F.min("rule")).scalar()
     matched = (
-        probes.join(first, "_probe", "left")
-        .groupBy("requested", "path")
-        .agg(F.min_by("_served", "rule_no").alias("_served"))
-        .select(
-            F.struct("requested", "path").alias("_pair"),
-            F.coalesce("_served", "requested").alias("resolved"),
-        )
+        pairs.join(by_path.select(F.col("text").alias("path"), F.col("rule").alias("_by_path")), "path", "left")
+        .join(by_prefix.select(F.col("text").alias("requested"), F.col("rule").alias("_by_prefix")), "requested", "left")
+        .join(by_name, "requested", "left")
+        # Of structs the least rule number comes first.
+        .select("requested", "path", F.least("_by_path", "_by_prefix", "_by_name", default)["served"].alias("_served"))
     )
+    matched = matched.select(F.struct("requested", "path").alias("_pair"), F.coalesce("_served", "requested").alias("resolved"))
     keyed = requests.withColumn("_pair", F.struct("requested", "path"))
     return keyed.join(matched, "_pair", "left").drop("_pair")
 

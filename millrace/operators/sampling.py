@@ -8,17 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.draws import DRAW_RANGE, digest, draw
-from millrace.sources.scratch import written_table
+from millrace.sources.scratch import small_side, written_table
 
 _BUCKET_BITS = 16
-#: Rows of a table of strata or weights that may be broadcast; a larger one is joined by a shuffle.
-_FEW = 200_000
-
-
-def _small_side(df: DataFrame, name: str) -> DataFrame:
-    """Written and counted, so that the texts it meets stay where they are if it is as small as it should be."""
-    written = written_table(df, name)
-    return F.broadcast(written) if written.limit(_FEW + 1).count() <= _FEW else written
 
 
 def with_draws(df: DataFrame, seed: int, keys: Sequence[str]) -> DataFrame:
@@ -97,7 +89,7 @@ def _last_positions(df: DataFrame, keys: Sequence[str], stratum: str, split: flo
 
 
 def _labelled(df: DataFrame, position: Column, last: DataFrame, stratum: str) -> DataFrame:
-    joined = df.join(_small_side(last, "strata"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    joined = df.join(small_side(last, "strata"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     in_eval = F.coalesce(position <= F.col("_last"), F.lit(False))
     return joined.withColumn("split", F.when(in_eval, "eval").otherwise("train")).drop("_stratum", "_last")
 
@@ -132,7 +124,7 @@ def oversample(df: DataFrame, weights: DataFrame, by: str, where: Column | None
     copies = F.greatest(F.lit(1), F.ceil(F.coalesce("_weight", F.lit(1.0)))).cast("int")
     if where is not None:
         copies = F.when(where, copies).otherwise(1)
-    joined = df.join(_small_side(heaviest, "weights"), F.col(by) == F.col("_by"), "left")
+    joined = df.join(small_side(heaviest, "weights"), F.col(by) == F.col("_by"), "left")
     return joined.withColumn("copy_no", F.explode(F.sequence(F.lit(1), copies))).drop("_by", "_weight")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.draws import DRAW_RANGE
 from millrace.operators.formats import EXAMPLE_COLUMNS, EXAMPLE_SCHEMA
+from millrace.sources.scratch import folder
 
 SPLITS = ("eval", "train")
 
@@ -42,31 +43,25 @@ def write_splits(examples: DataFrame, path: str, order: Sequence[str], mode: str
     ordered = examples.repartitionById(n, part).sortWithinPartitions("split", *order)
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     _without_empty_fields(ordered, "split").write.partitionBy("split").json(f"{beside}-new")
-    _, files = _folder(spark, path)
+    _, files = folder(spark, path)
     for split in SPLITS:
-        files.mkdirs(_folder(spark, f"{beside}-new/split={split}")[0])
+        files.mkdirs(folder(spark, f"{beside}-new/split={split}")[0])
     if mode == "overwrite" and folder_exists(spark, path):
         _renamed(spark, path, f"{beside}-old")
     _renamed(spark, f"{beside}-new", path)
-    files.delete(_folder(spark, f"{beside}-old")[0], True)
-
-
-def _folder(spark: SparkSession, path: str):
-    """Hadoop path and file system of a folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(folder(spark, f"{beside}-old")[0], True)
 
 
 def _renamed(spark: SparkSession, source: str, target: str) -> None:
-    folder, files = _folder(spark, target)
+    place, files = folder(spark, target)
     # A rename onto a folder that has come up meanwhile would move into it.
-    if files.exists(folder) or not files.rename(_folder(spark, source)[0], folder):
+    if files.exists(place) or not files.rename(folder(spark, source)[0], place):
         raise FileExistsError(target)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder, files = _folder(spark, path)
-    return files.exists(folder)
+    place, files = folder(spark, path)
+    return files.exists(place)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:

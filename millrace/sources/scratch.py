@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -29,3 +30,19 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a table that may be broadcast; a larger one is joined by a shuffle.
+_FEW = 200_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """Written and counted, so that the texts it meets stay where they are if it is as small as it should be."""
+    written = written_table(df, name)
+    return F.broadcast(written) if written.limit(_FEW + 1).count() <= _FEW else written
+
+
+def folder(spark: SparkSession, path: str):
+    """Hadoop path and file system of a folder, for listing, marking and renaming by the driver."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

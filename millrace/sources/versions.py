@@ -8,11 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def _folder(spark: SparkSession, path: str):
-    """Hadoop path and file system of a folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+from millrace.sources.scratch import folder
 
 
 def _child(spark: SparkSession, path: str, *names: str):
@@ -21,7 +17,7 @@ def _child(spark: SparkSession, path: str, *names: str):
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions, ascending."""
-    marks, files = _folder(spark, f"{path.rstrip('/')}/_complete")
+    marks, files = folder(spark, f"{path.rstrip('/')}/_complete")
     if not files.exists(marks):
         return []
     names = [s.getPath().getName() for s in files.listStatus(marks)]
@@ -38,7 +34,7 @@ def publish(rows: DataFrame, path: str, number: int, keep: int = 3) -> bool:
     if before and before[-1] >= number:
         return False
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
-    _, files = _folder(spark, path)
+    _, files = folder(spark, path)
     files.create(_child(spark, path, "_complete", str(number)), False).close()
     for old in before[: max(0, len(before) - max(keep, 1) + 1)]:
         # The mark first: a version without its mark is never read.

@@ -1,12 +1,14 @@
 """Routing, request logs and metrics."""
 
+import random
+
 import pytest
 
 from millrace.operators import routing
 from millrace.operators.routing import Route
-from millrace.streaming.metrics import write_running_metrics
+from millrace.streaming.metrics import read_running_metrics, write_running_metrics
 
-ALIASES = {"codegen": "code-tuned", "fast": "fill-small"}
+ALIASES = {"writer": "code-tuned", "clerk": "fill-small"}
 
 
 def resolve(spark, rules, aliases, requests):
@@ -23,34 +25,48 @@ def resolve(spark, rules, aliases, requests):
 
 
 def test_by_model(spark):
-    rules = [Route("fast", model="tiny"), Route("codegen", model="big-*"), Route("fast", default=True)]
+    rules = [Route("clerk", model="tiny"), Route("writer", model="big-*"), Route("clerk", default=True)]
     requests = [("big-one", "/ask"), ("tiny", "/ask"), ("tiny-2", "/ask"), ("big", "/ask")]
     assert resolve(spark, rules, ALIASES, requests) == ["code-tuned", "fill-small", "fill-small", "fill-small"]
 
 
 def test_by_path(spark):
-    rules = [Route("codegen", path="/fill"), Route("fast", path="/f")]
+    rules = [Route("writer", path="/fill"), Route("clerk", path="/f")]
     requests = [("m", "/fill"), ("m", "/filling/now"), ("m", "/form"), ("m", "/ask")]
     assert resolve(spark, rules, ALIASES, requests) == ["code-tuned", "code-tuned", "fill-small", "m"]
 
 
 def test_first_match_unknown_alias_and_no_match(spark):
     rules = [
-        Route("ghost", model="a"), Route("fast", path="/p", model="b", default=True), Route("codegen", model="a*"),
-        Route("fast", model="*x*"), Route("fast"), Route("codegen", model="é*"),
+        Route("ghost", model="a"), Route("clerk", path="/p", model="b", default=True), Route("writer", model="a*"),
+        Route("clerk", model="*x*"), Route("clerk"), Route("writer", model="é*"),
     ]
     requests = [("a", "/q"), ("ab", "/q"), ("b", "/q"), ("b", "/pp"), ("*xy", "/q"), ("", "/q"), ("éa", ""), ("A", "/q")]
     assert resolve(spark, rules, ALIASES, requests) == ["", "code-tuned", "b", "fill-small", "fill-small", "", "code-tuned", "A"]
-    everything = [Route("codegen", model="*")]
+    everything = [Route("writer", model="*")]
     assert resolve(spark, everything, ALIASES, [("", "/"), ("x", "/")]) == ["code-tuned", "code-tuned"]
 
 
 def test_no_rules(spark):
-    assert resolve(spark, [Route("fast")], ALIASES, [("m", "/")]) == ["m"]
+    assert resolve(spark, [Route("clerk")], ALIASES, [("m", "/")]) == ["m"]
+
+
+def test_many_rules_of_many_lengths(spark):
+    """Ten thousand beginnings of 200 lengths: eight probes per text, and the rules that a plain search finds."""
+    draw = random.Random(3)
+    long = ["".join(draw.choice("ab") for _ in range(400)) for _ in range(60)]
+    patterns = [(draw.choice(long)[: draw.randrange(1, 401, 2)], n) for n in draw.sample(range(10**6), 10_000)]
+    texts = [w[: draw.randrange(0, 401)] + draw.choice(["", "c", "ab"]) for w in long for _ in range(10)] + ["", "zzz", None]
+    out = routing.best_prefix_rules(
+        spark.createDataFrame([(t,) for t in texts], "text string").distinct(), spark.createDataFrame(patterns, "pattern string, rule int")
+    )
+    want = {t: min((n for p, n in patterns if t is not None and t.startswith(p)), default=None) for t in texts}
+    assert {r.text: r.rule for r in out.collect()} == want
+    assert len({len(p) for p, _ in patterns}) == 200 and out._jdf.queryExecution().executedPlan().toString().count("Join") <= 2 * 8
 
 
 def test_log_bodies(spark):
-    rules = [Route("codegen", default=True)]
+    rules = [Route("writer", default=True)]
     bodies = [
         ('{"model":"test","messages":[{"role":"user","content":"hi"}]}', "code-tuned"), ('{"model":5}', ""),
         ('{"model":null}', ""), ("{}", ""), ("no", ""), ("[]", ""), ("null", ""), ('{"model":"a"} {"model":"b"}', ""),
@@ -78,6 +94,6 @@ def test_running_metrics_over_two_runs(spark, fresh_dir):
         if n == 2500:
             spark.range(1000, 2500).write.parquet(fresh_dir + "/in/b")
         write_running_metrics(stream, fresh_dir + "/out", fresh_dir + "/ck").awaitTermination()
-        got = spark.read.parquet(fresh_dir + "/out").drop("latency_ms").collect()
+        got = read_running_metrics(spark, fresh_dir + "/out").drop("latency_ms").collect()
         want = routing.request_metrics(log_of(spark.range(n))).drop("latency_ms").collect()
         assert sorted(got) == sorted(want)
