@@ -14,6 +14,7 @@ Defined results of the odd cases (NULLs, empty texts, repeated rows, empty table
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,9 @@ from millrace.llm.queries import PIECE_MODEL
 from millrace.llm.words import table
 from millrace.sources.scratch import written_table
 
+#: The key of the surrogates: a secret of whoever runs the pipeline.
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "corpus")
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -39,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def private_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return private_filter(docs)
+    return private_filter(docs, SURROGATE_KEY)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
