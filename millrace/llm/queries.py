@@ -21,6 +21,9 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 #: A public SentencePiece model; its path is a parameter, the file is not part of the library.
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
+#: The key of the surrogates: a secret of whoever runs the query.
+SURROGATE_KEY = os.environ.get("SURROGATE_KEY", "corpus")
+
 
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,8 +37,7 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_private_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = private.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.withColumnRenamed("_n_entities", "n_entities")
+    return private.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
 
 
 #: `host/path` rules of the URL query.

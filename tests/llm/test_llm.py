@@ -40,7 +40,7 @@ def test_odd_and_empty_tables(spark, odd):
     model = toxicity.Model(weights={"long": 1.0})
     for f in (
         quality.quality_verdicts, quality.quality_filter, repeats.without_repeats, near.near_components, near.near_filter,
-        fingerprints.neighbours_compared, private.private_filter, licences.licence_scan, mix.taken_words,
+        fingerprints.neighbours_compared, lambda d: private.private_filter(d, "k"), licences.licence_scan, mix.taken_words,
         lambda d: toxicity.scored(d, model), lambda d: pieces.encoded(d, table, limit=50),
     ):
         n = f(odd).count()
@@ -116,10 +116,10 @@ def test_fingerprints_follow_the_texts(spark, documents):
 def test_surrogates_are_distinct_coreferent_and_formatted(spark):
     text = "Mrs. Anna Smith +1 (017) 555-7713 and +1 017 555 7713, 4111 1111 1111 1111, n@x.org N@X.ORG"
     rows = [(i, f"p{i}@q.org {text}") for i in range(60)]
-    out = private.replaced(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    out = private.replaced(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()
     assert len({r.text.split()[0] for r in out}) == 60 and all(r.text.split()[0].endswith(".org") for r in out)
     one = out[0].text
-    assert one.split("Mrs. ")[1].split()[0] in private.NAMES["f", "latin"]
+    assert "Smith" not in one and one.split("Mrs. ")[1].split()[0] in private.NAMES["f", "latin"]
     digits = ["".join(c for c in x if c.isdigit()) for x in (one.split("+")[1], one.split("+")[2].split(",")[0])]
     assert digits[0] == digits[1] and digits[0][0] == "1"
     assert one.split()[-1] == one.split()[-2].upper() and not any(x in one for x in ("555", "4111", "n@x", "Smith"))
