@@ -18,7 +18,9 @@ Rows are independent: repeated rows repeat their result; an empty table gives an
 
 from __future__ import annotations
 
+import heapq
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -193,6 +195,18 @@ class Encoder:
         octets = {i: bytes([b]) for b, i in enumerate(pieces.bytes_at)}
         self.data = [octets.get(i) or t.encode("utf-8", "surrogatepass") for i, t in enumerate(pieces.texts)]
 
+    held: tuple[str, Encoder] | None = None
+
+    @staticmethod
+    def of(key: str, pieces: Pieces, packed: bytes) -> Encoder:
+        """Built once in a worker for one dictionary; the latest is kept."""
+        if Encoder.held is None or Encoder.held[0] != key:
+            Encoder.held = None
+            table = pa.ipc.open_stream(packed).read_all()
+            known = {w: tuple(i) for w, i in zip(table.column("word").to_pylist(), table.column("ids").to_pylist())}
+            Encoder.held = (key, Encoder(pieces, known))
+        return Encoder.held[1]
+
     def folded(self, word: str) -> tuple[int, ...]:
         parts = self.merged(word) if self.pieces.kind == "bpe" else self.best_path(word)
         ids: list[int] = []
@@ -202,17 +216,32 @@ class Encoder:
         return tuple(ids)
 
     def merged(self, word: str) -> list[str]:
-        parts, scores = list(word), self.pieces.scores
-        pairs = [scores.get(a + b) for a, b in zip(parts, parts[1:])]
-        while (best := max((x for x in pairs if x is not None), default=None)) is not None:
-            i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i > 0:
-                pairs[i - 1] = scores.get(parts[i - 1] + parts[i])
-            if i < len(pairs):
-                pairs[i] = scores.get(parts[i] + parts[i + 1])
-        return parts
+        """Segments after all merges, best score first, of equal ones the leftmost; n log n in the word's length."""
+        scores = self.pieces.scores
+        parts, after, before = list(word), list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+        heap: list[tuple[float, int, str, str]] = []
+
+        def offer(left: int) -> None:
+            if left >= 0 and after[left] < len(parts):
+                a, b = parts[left], parts[after[left]]
+                if (score := scores.get(a + b)) is not None:
+                    heapq.heappush(heap, (-score, left, a, b))
+
+        for i in range(len(parts) - 1):
+            offer(i)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            # What either side was merged with meanwhile has been offered anew.
+            if parts[i] != a or j >= len(parts) or parts[j] != b:
+                continue
+            parts[i], parts[j] = a + b, ""
+            after[i] = after[j]
+            if after[i] < len(parts):
+                before[after[i]] = i
+            offer(before[i])
+            offer(i)
+        return [p for p in parts if p]
 
     def best_path(self, word: str) -> list[str]:
         scores, unknown = self.pieces.scores, min(self.pieces.scores.values(), default=0.0) - 10
@@ -246,6 +275,13 @@ class Encoder:
         return data.decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 _BATCH = 200
 
@@ -254,12 +290,11 @@ def encoded(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     """`doc_id, n_pieces, ids, round_trip` of each row; `round_trip`: decoding gives the text back."""
     plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     words = written_table(encoded_words(frequent_words(plain, pieces, limit), pieces), "piece-ids")
-    table = words.toArrow()
-    known = {w: tuple(i) for w, i in zip(table.column("word").to_pylist(), table.column("ids").to_pylist())}
-    sent = docs.sparkSession.sparkContext.broadcast((pieces, known))
+    # The driver passes on compressed columns, some 10 MB at most; tasks make the dictionary.
+    sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, pieces, _packed(words.toArrow())))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*sent.value)
+        encoder = Encoder.of(*sent.value)
         for batch in batches:
             for at in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(at, _BATCH)

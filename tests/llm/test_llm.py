@@ -2,6 +2,8 @@
 
 import hashlib
 import os
+import random
+import time
 
 import pytest
 import sentencepiece
@@ -133,6 +135,18 @@ def test_pieces_equal_the_library_and_round_trip(spark, documents):
     assert all(list(r.ids) == library.encode(texts[r.doc_id]) and r.round_trip for r in got)
 
 
+def test_long_words_take_little_time():
+    """A megabyte without a space; the library agrees on what is long enough to be hard."""
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    encoder = pieces.Encoder(pieces.Pieces.read(PIECE_MODEL), {})
+    draw = random.Random(2)
+    for text in ("ab" * 3000, "".join(draw.choice("etaoinshr") for _ in range(20_000)), "中文" * 500 + "x"):
+        assert encoder.encode(text) == library.encode(text)
+    start = time.monotonic()
+    assert len(encoder.encode("".join(draw.choice("etaoinshrdlu") for _ in range(1 << 20)))) > 100_000
+    assert time.monotonic() - start < 60
+
+
 def test_unigram_lattice_equals_the_plain_recursion(spark):
     scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "c": -4.0, "ab": -3.1, "bc": -3.0, "▁a": -3.5, "abc": -5.9, "ca": -3.3}
     ids = {p: 300 + i for i, p in enumerate(scores)}
