@@ -4,8 +4,8 @@
    a target stops at `REPEATS` times its source and what is cut off is shared anew by weight, down
    to one water level: `target = min(3 * size, level * weight)`.
 2. A source's documents, in a hashed order, form one run of words, packed into blocks of `BLOCK` words. The
-   offsets come from two levels of running sums (hash buckets of a source, then inside a bucket), so a
-   source with a third of all rows is no single task.
+   offsets come from two levels of running sums (hash buckets of a source, as many as its size asks for, then inside a
+   bucket), so a source with a third of all rows is no single task.
 3. Each source draws whole passes over its blocks and a part of the last one, as many slots as its target needs.
    A slot's shard is a seeded hash: given the totals, the counts per shard are a multinomial draw with
    the target weights, without the noise that drawing the totals as well would add to them.
@@ -38,7 +38,8 @@ WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK = 64
 SHARD_SLOTS = 4096
-BUCKETS = 1024
+#: Words of a hash bucket, on average: what one window partition reads besides its last document.
+BUCKET_WORDS = 1 << 16
 SEED = 17
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -90,7 +91,8 @@ def placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """`sized` with its source's columns and `_offset`, the words of the source that come before the document."""
     known = small_side(sources.withColumnRenamed("_source", "_named"))
     rows = sized.join(known, F.col("_source").eqNullSafe(F.col("_named"))).drop("_named")
-    rows = rows.withColumn("_bucket", F.pmod("_order", F.lit(BUCKETS)))
+    buckets = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(BUCKET_WORDS))).cast("bigint")
+    rows = rows.withColumn("_bucket", F.pmod("_order", buckets))
     bucket_sizes = rows.groupBy("rank", "_bucket").agg(F.sum("_size").alias("n"))
     earlier = Window.partitionBy("rank").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = bucket_sizes.select("rank", "_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
@@ -146,8 +148,8 @@ def slots(sources: DataFrame) -> DataFrame:
         "rank", "blocks", "slots", "first_slot", "all_slots",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1, F.lit(step).cast("bigint"))).alias("lo"),
     )
-    # The spans of a large source go to many tasks before they are unfolded.
-    spans = spans.repartition("rank", "lo")
+    # The spans of a large source go to many tasks before they are unfolded; a number, as they are too small to be left apart.
+    spans = spans.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "lo")
     each = spans.withColumn("slot", F.explode(F.sequence("lo", F.least(F.col("lo") + step, F.col("slots")) - 1)))
     schema = "rank int, block bigint, number bigint, all_slots bigint"
     found = each.select("rank", "slot", "blocks", "first_slot", "all_slots").mapInPandas(_find_blocks, schema)

@@ -346,4 +346,5 @@ def near_filter(docs: DataFrame, threshold: int = 85, doc_id: str = "doc_id", te
     """One document of each group of near copies stays, with its own columns: the one with the smallest id."""
     found = near_components(docs, threshold, doc_id, text)
     out = written_table(found.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct(), "near-dropped")
-    return docs.join(small_side(out), docs[doc_id].cast("bigint") == F.col("_dropped"), "left_anti")
+    side = small_side(out)
+    return docs.join(side, docs[doc_id].cast("bigint") == side["_dropped"], "left_anti")

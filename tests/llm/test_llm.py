@@ -135,6 +135,11 @@ def test_pieces_equal_the_library_and_round_trip(spark, documents):
     assert all(list(r.ids) == library.encode(texts[r.doc_id]) and r.round_trip for r in got)
 
 
+def test_near_filter_passes_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(1, "a b c", "x", 1), (2, "a b c", "y", 2), (3, None, "z", 3)], "doc_id bigint, text string, _dropped string, cls int")
+    assert sorted(map(tuple, near.near_filter(rows).collect())) == [(1, "a b c", "x", 1), (3, None, "z", 3)]
+
+
 def test_long_words_take_little_time():
     """A megabyte without a space; the library agrees on what is long enough to be hard."""
     library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
