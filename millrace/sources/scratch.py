@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -22,7 +23,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def made_paths(since: int = 0) -> list[str]:
+    """Paths given out in this process so far, from number `since` on."""
+    return _made[since:]
+
+
+def remove_unread(spark: SparkSession, paths: list[str], readers: DataFrame) -> list[str]:
+    """Delete scratch folders, but those that `readers` reads; gives the ones that stay."""
+    read, kept = readers.inputFiles(), []
+    for path in paths:
+        if any(f"/{path.rsplit('/', 1)[1]}/" in f for f in read):
+            kept.append(path)
+        else:
+            place, files = folder(spark, path)
+            files.delete(place, True)
+    return kept
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:
