@@ -185,6 +185,11 @@ def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return every.select("word", ids.alias("ids"))
 
 
+#: Words up to this length are merged by scanning their pairs, longer ones with a heap.
+_SHORT = 40
+_NONE = float("-inf")
+
+
 class Encoder:
     """Word by word: known encodings first, the same folds for other words; forgets those when they are many."""
 
@@ -216,7 +221,24 @@ class Encoder:
         return tuple(ids)
 
     def merged(self, word: str) -> list[str]:
-        """Segments after all merges, best score first, of equal ones the leftmost; n log n in the word's length."""
+        """Segments after all merges, best score first, of equal ones the leftmost."""
+        return self._merged_short(word) if len(word) <= _SHORT else self._merged_long(word)
+
+    def _merged_short(self, word: str) -> list[str]:
+        parts, score = list(word), self.pieces.scores.get
+        pairs = [score(a + b, _NONE) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) > _NONE:
+            i = pairs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], _NONE)
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], _NONE)
+        return parts
+
+    def _merged_long(self, word: str) -> list[str]:
+        """With a heap: n log n in the word's length."""
         scores = self.pieces.scores
         parts, after, before = list(word), list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
         heap: list[tuple[float, int, str, str]] = []
