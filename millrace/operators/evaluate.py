@@ -109,9 +109,9 @@ def parse_chat_response(responses: DataFrame) -> DataFrame:
     )
     choices = F.col("_p.value.choices")
     error = (
-        F.when(F.col("status") != 200, F.concat(F.lit("HTTP "), F.col("status"), F.lit(": "), F.col("body")))
-        .when(~F.coalesce(F.col("_p.ok"), F.lit(False)), F.lit("parsing response"))
-        .when(F.coalesce(F.size(choices), F.lit(0)) <= 0, F.lit("no choices in response"))
+        F.when(F.col("status") != 200, F.concat(F.lit("answer with status "), F.col("status"), F.lit(": "), F.col("body")))
+        .when(~F.coalesce(F.col("_p.ok"), F.lit(False)), F.lit("answer is not readable"))
+        .when(F.coalesce(F.size(choices), F.lit(0)) <= 0, F.lit("answer has no choice"))
     )
     content = F.coalesce(F.get(choices, F.lit(0))["message"]["content"], F.lit(""))
     return parsed.withColumn("error", error).withColumn(

@@ -68,7 +68,7 @@ ORACLE["sitemap_urls"] = f"""
 WITH maps AS ({_SITEMAPS})
 SELECT page_id, CAST(unnest(range(len(locs))) AS BIGINT) AS pos, unnest(locs) AS loc, CAST(NULL AS VARCHAR) AS error
 FROM maps WHERE NOT broken
-UNION ALL SELECT page_id, 0, NULL, 'parsing sitemap' FROM maps WHERE broken"""
+UNION ALL SELECT page_id, 0, NULL, 'sitemap is not well-formed' FROM maps WHERE broken"""
 
 _LINKS = f"""
 linked AS (SELECT page_id, url, {views.LINKED_HTML} AS html FROM pages),
@@ -113,7 +113,7 @@ SELECT w.page_id AS source_id, CAST(w.pos AS BIGINT) AS pos, w.link AS url, l.ht
        CAST(NULL AS VARCHAR) AS error
 FROM wanted w JOIN linked l ON l.url = w.link
 UNION ALL SELECT page_id, 0, l.url, html, NULL FROM linked l JOIN sources USING (page_id) WHERE type = 'markdown_repo'
-UNION ALL SELECT page_id, 0, NULL, NULL, 'parsing sitemap' FROM maps WHERE type = 'sitemap' AND broken
+UNION ALL SELECT page_id, 0, NULL, NULL, 'sitemap is not well-formed' FROM maps WHERE type = 'sitemap' AND broken
 UNION ALL SELECT page_id, pos, link, NULL, 'no page at ' || link FROM missing
 UNION ALL SELECT page_id, 0, url, NULL, 'no such kind of source: feed' FROM sources WHERE type = 'feed'"""
 
@@ -413,8 +413,8 @@ WITH answers AS (
             json_object('role', role, 'content', text)))) AS VARCHAR)
         WHEN 'user' THEN '{"choices": []}' ELSE 'busy' END AS body FROM conversations)
 SELECT conv_id, turn, CASE WHEN NOT failed AND role = 'assistant' THEN text END AS content,
-    CASE WHEN failed THEN 'HTTP 500: ' || body WHEN role = 'user' THEN 'no choices in response'
-        WHEN role <> 'assistant' THEN 'parsing response' END AS error FROM answers"""
+    CASE WHEN failed THEN 'answer with status 500: ' || body WHEN role = 'user' THEN 'answer has no choice'
+        WHEN role <> 'assistant' THEN 'answer is not readable' END AS error FROM answers"""
 
 # ---- evaluation
 
@@ -505,10 +505,10 @@ _REQUESTS = f"SELECT {_columns(views.REQUESTS)} FROM events"
 ORACLE["route_requests"] = f"WITH {_routed(_REQUESTS)} SELECT event_id, resolved FROM routed"
 ORACLE["route_requests_by_table"] = f"""
 WITH rules AS (
-    SELECT DISTINCT user_id AS rule_no, '' AS path, 'go-' || user_id || '*' AS model, 'u' || user_id % 10 AS target
+    SELECT DISTINCT user_id AS rule_no, '' AS path, 'team-' || user_id || '*' AS model, 'u' || user_id % 10 AS target
     FROM events
-    UNION ALL SELECT DISTINCT -length(event_type), CASE WHEN event_type = 'error' THEN '/v1/completions' ELSE '' END,
-        CASE WHEN event_type = 'view' THEN 'reason' WHEN event_type = 'signup' THEN 'front*' ELSE '-' END, event_type
+    UNION ALL SELECT DISTINCT -length(event_type), CASE WHEN event_type = 'error' THEN '/fill' ELSE '' END,
+        CASE WHEN event_type = 'view' THEN 'thinker' WHEN event_type = 'signup' THEN 'draft*' ELSE '-' END, event_type
     FROM events),
 aliases AS (
     SELECT DISTINCT 'u' || user_id % 10 AS alias, 'served-' || user_id % 10 AS model FROM events

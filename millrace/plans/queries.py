@@ -473,13 +473,13 @@ def route_requests_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules from the data: each user's own model prefix, exact names, a path, and no default."""
     events = table(spark, sf_dir, "events")
     users = events.select("user_id").distinct().selectExpr(
-        "user_id AS rule_no", "'' AS path", "'go-' || user_id || '*' AS model", "false AS is_default",
+        "user_id AS rule_no", "'' AS path", "'team-' || user_id || '*' AS model", "false AS is_default",
         "'u' || user_id % 10 AS target",
     )
     kinds = events.select("event_type").distinct().selectExpr(
         "CAST(-length(event_type) AS BIGINT) AS rule_no",
-        "CASE WHEN event_type = 'error' THEN '/v1/completions' ELSE '' END AS path",
-        "CASE WHEN event_type = 'view' THEN 'reason' WHEN event_type = 'signup' THEN 'front*' ELSE '-' END AS model",
+        "CASE WHEN event_type = 'error' THEN '/fill' ELSE '' END AS path",
+        "CASE WHEN event_type = 'view' THEN 'thinker' WHEN event_type = 'signup' THEN 'draft*' ELSE '-' END AS model",
         "false AS is_default", "event_type AS target",
     )
     aliases = events.select("user_id").distinct().selectExpr(

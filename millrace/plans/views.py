@@ -22,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # both fit some requests, and one whose alias nobody serves.
 ROUTES = (
     Route(target="audit", model="other"),
-    Route(target="batch", model="go-1*"),
-    Route(target="inline", path="/v1/comp"),
-    Route(target="nobody", model="reason"),
-    Route(target="batch", model="go-*"),
+    Route(target="batch", model="team-1*"),
+    Route(target="inline", path="/fi"),
+    Route(target="nobody", model="thinker"),
+    Route(target="batch", model="team-*"),
     Route(target="desk", default=True),
 )
 ALIASES = {
@@ -144,14 +144,14 @@ SOURCE_TYPE = (
 # events as logged requests.
 REQUESTS = {
     "event_id": "event_id",
-    "requested": "CASE event_type WHEN 'click' THEN 'go-' || user_id WHEN 'view' THEN 'reason' "
-    "WHEN 'signup' THEN 'frontier' WHEN 'purchase' THEN 'other' ELSE '' END",
-    "path": "CASE WHEN user_id % 3 = 0 THEN '/v1/completions' ELSE '/v1/chat/completions' END",
+    "requested": "CASE event_type WHEN 'click' THEN 'team-' || user_id WHEN 'view' THEN 'thinker' "
+    "WHEN 'signup' THEN 'drafter' WHEN 'purchase' THEN 'other' ELSE '' END",
+    "path": "CASE WHEN user_id % 3 = 0 THEN '/fill' ELSE '/ask' END",
     "latency_ms": "value",
     "is_err": "event_type = 'error'",
-    "body": "CASE event_type WHEN 'click' THEN '{\"model\":\"go-' || user_id || '\",\"props\":' || props || '}' "
-    "WHEN 'view' THEN '{\"model\": \"reason\"} ' WHEN 'signup' THEN '{\"model\":' || user_id || '}' "
-    "WHEN 'purchase' THEN '{\"model\":\"go-1\"} ' || props ELSE 'no json ' || props END",
+    "body": "CASE event_type WHEN 'click' THEN '{\"model\":\"team-' || user_id || '\",\"props\":' || props || '}' "
+    "WHEN 'view' THEN '{\"model\": \"thinker\"} ' WHEN 'signup' THEN '{\"model\":' || user_id || '}' "
+    "WHEN 'purchase' THEN '{\"model\":\"team-1\"} ' || props ELSE 'no json ' || props END",
 }
 
 JUDGE_RESPONSE = (

@@ -45,7 +45,7 @@ def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
         *kept,
         F.col("pos").cast("bigint").alias("pos"),
         F.nullif("loc", F.lit("")).alias("loc"),
-        F.when(F.col("loc") == "", F.lit("parsing sitemap")).alias("error"),
+        F.when(F.col("loc") == "", F.lit("sitemap is not well-formed")).alias("error"),
     )
 
 

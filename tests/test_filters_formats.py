@@ -151,8 +151,8 @@ def test_chat_answers(spark):
     out = evaluate.parse_chat_response(frame(spark, rows, "id int, status int, body string")).orderBy("id").collect()
     assert [r.content for r in out] == ["hé\n", None, None, None, None, "", None]
     assert [r.error for r in out] == [
-        None, "HTTP 500: busy", "parsing response", "no choices in response", "no choices in response", None,
-        "parsing response",
+        None, "answer with status 500: busy", "answer is not readable", "answer has no choice", "answer has no choice", None,
+        "answer is not readable",
     ]
 
 

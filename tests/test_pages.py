@@ -287,7 +287,7 @@ def test_sitemaps(spark):
     out = feeds.sitemap_urls(spark.createDataFrame(rows, "url string, body string")).orderBy("url", "pos").collect()
     assert [(r.url, r.pos, r.loc, r.error) for r in out] == [
         ("a", 0, "https://s.example/one", None), ("a", 1, "https://s.example/two?a=1&b=2", None),
-        ("bad", 0, None, "parsing sitemap"), ("text", 0, None, "parsing sitemap"),
+        ("bad", 0, None, "sitemap is not well-formed"), ("text", 0, None, "sitemap is not well-formed"),
     ]
 
 
@@ -327,7 +327,7 @@ def test_article_sources(spark):
         (8, 0, "http://b.example/sitemap.xml", None, "no page at http://b.example/sitemap.xml"),
         (9, 0, "repo", "# A", None), (9, 1, "repo", "# B", None),
         (10, 0, "x", None, "no such kind of source: podcast"),
-        (11, 0, None, None, "parsing sitemap"),
+        (11, 0, None, None, "sitemap is not well-formed"),
         (12, 0, "lost.txt", None, "no address list at lost.txt"), (13, 0, "lost", None, "no documents at lost"),
         (14, 0, "y", None, "no such kind of source: "), (15, 0, None, None, "no such kind of source: podcast"),
     ]

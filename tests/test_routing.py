@@ -72,7 +72,7 @@ def test_log_bodies(spark):
         ('{"model":null}', ""), ("{}", ""), ("no", ""), ("[]", ""), ("null", ""), ('{"model":"a"} {"model":"b"}', ""),
         ('{"Model":"a"}', ""), ('{"model":{"model":"a"}}', ""), ('{"model":"a","model":7}', ""), (None, ""), ('{"model":""}', "code-tuned"),
     ]
-    frame = spark.createDataFrame([(i, b, "/v1/x") for i, (b, _) in enumerate(bodies)], "id int, body string, path string")
+    frame = spark.createDataFrame([(i, b, "/ask") for i, (b, _) in enumerate(bodies)], "id int, body string, path string")
     rows = routing.route_log_model(frame, rules, ALIASES).orderBy("id").collect()
     assert [r.model for r in rows] == [m for _, m in bodies]
 
