@@ -1,17 +1,19 @@
 """Toxicity by multiple-instance learning: a document is toxic if one of its sentences is.
 
 A sentence's probability is logistic in its distinct words and beginnings of words (stems are inflected); a document's is the noisy-or of its sentences,
-`1 - prod(1 - p)`. Only documents are labelled, so the words' weights are fitted to document labels through the noisy-or
-(full-batch Adam on the exact gradient). The weights then score all documents, and locate the sentences that
-made the score.
-
-Fitting uses a sample of at most `MAX_TRAIN` labelled rows (the smallest hashes of the id; a documented bound).
-Spark counts its features by label and keeps the `MAX_WORDS` that tell labels apart best (chi-square); only their numbers
-in the sentences of the sample come to the driver. Scoring is one pass in
-Arrow batches without a shuffle; the model it carries holds `MAX_WORDS` weights at most.
-
-Defined results: NULL and empty texts have no sentence and score 0. Without labelled documents of both kinds
-nothing can be learned: all weights are 0 and the bias is low. Of several labels of one id the largest counts.
+`1 - prod(1 - p)`. The bias is the document's: a sentence's prior odds are the document's divided by its number of sentences, so the
+score does not rise with length alone, however long a clean text is. Only documents are labelled, so the words' weights are fitted to
+document labels through the noisy-or (full-batch Adam on the exact gradient). The weights then score all documents, and locate the
+sentences that made the score.
+
+Fitting uses a sample of at most `MAX_TRAIN` labelled documents (the smallest hashes of the id; a documented bound).
+Spark counts its features by label and keeps the `max_words` that tell labels apart best (chi-square), of those in
+`least_docs` documents or more; only their numbers in the sentences of the sample come to the driver, equal sentences of a
+document as one with a count. Scoring is one pass in Arrow batches without a shuffle; the model it carries holds `max_words` weights at most.
+
+Defined results: NULL and empty texts have no sentence and score 0. Very long texts are read whole. Without labelled documents of both
+kinds nothing can be learned: all weights are 0 and the bias is low. Of several labels of one id the largest counts, of several texts the
+last by code points; of equally telling features the first by name is kept.
 Scores are functions of the text, so repeated rows score alike; other columns are not read.
 """
 
@@ -32,9 +34,10 @@ from pyspark.sql import functions as F
 from millrace.sources.scratch import written_table
 
 MAX_TRAIN = 12_000
+#: Features that are learned from by default; more change little (README).
 MAX_WORDS = 1_000
 STEPS = 300
-#: Words in fewer training documents than this are not learned from.
+#: Features in fewer training documents than this are not learned from by default.
 LEAST_DOCS = 4
 THRESHOLD = 0.5
 _START_BIAS = -6.0
@@ -72,20 +75,23 @@ class Model:
         """Of a text: noisy-or, number of sentences, and the offending sentences by position (in characters)."""
         known = _Known({f: (f, w) for f, w in self.weights.items()})
         chance = lambda z: 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
-        plain = chance(self.bias)
 
         def score(text: str | None) -> tuple[float, int, list[dict]]:
-            clean, n, found = 0.0, 0, []
+            plain, evidence = 0, []
             for m in _sentences(text or ""):
                 words = _words(m[0].lower())
-                if not words:
-                    continue
-                n += 1
-                hits = {x for w in words for x in known[w]}
-                p = chance(self.bias + math.fsum(w for _, w in hits)) if hits else plain
+                if hits := {x for w in words for x in known[w]}:
+                    evidence.append((m.start(), m.end(), math.fsum(w for _, w in hits)))
+                else:
+                    plain += bool(words)
+            n, found = plain + len(evidence), []
+            prior = self.bias - math.log(max(n, 1))
+            clean = plain * math.log1p(-chance(prior))
+            for start, end, z in evidence:
+                p = chance(prior + z)
                 clean += math.log1p(-min(p, 1 - 1e-12))
                 if p >= THRESHOLD:
-                    found.append({"start": m.start(), "end": m.end(), "score": p})
+                    found.append({"start": start, "end": end, "score": p})
             return -math.expm1(clean), n, found
 
         return score
@@ -107,14 +113,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _numbered(names: list[str]):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Numbers of the features in each sentence of the training documents."""
+        """Numbers of the features in each sentence of the training documents, and how many sentences have them."""
         known = _Known({f: i for i, f in enumerate(names)})
         for batch in batches:
-            rows = []
+            rows, counts = [], []
             for text in batch.column(1):
                 each = (_words(m[0].lower()) for m in _sentences(text.as_py() or ""))
-                rows.append([sorted({x for w in words for x in known[w]}) for words in each if words])
-            yield pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.list_(pa.int32())))], names=["toxic", "sentences"])
+                alike = sorted(Counter(tuple(sorted({x for w in words for x in known[w]})) for words in each if words).items())
+                rows.append([list(x) for x, _ in alike])
+                counts.append([n for _, n in alike])
+            columns = [batch.column(0), pa.array(rows, pa.list_(pa.list_(pa.int32()))), pa.array(counts, pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["toxic", "sentences", "counts"])
 
     return number
 
@@ -125,46 +134,50 @@ def remainder(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFrame:
-    """`toxic, text` of at most `limit` labelled documents that are not held out."""
+    """`toxic, text` of at most `limit` labelled documents that are not held out, one row an id."""
     known = labels.where(F.col("toxic").isNotNull() & (remainder(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # The ids are bounded by `limit`, so they are sent to the texts.
     sample = known.orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id").limit(limit)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.col("toxic").cast("int"), "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"), F.max("text").alias("text")).drop("doc_id")
 
 
-def telling_features(rows: DataFrame, n: int, t: int) -> list[str]:
+def telling_features(rows: DataFrame, n: int, t: int, max_words: int = MAX_WORDS, least_docs: int = LEAST_DOCS) -> list[str]:
     """Features whose documents differ most in label, by the chi-square statistic, among `n` documents with `t` toxic ones."""
     counts = rows.mapInArrow(_count, "feature string, n bigint, t bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     expected = F.col("n") * F.lit(t / n)
     gain = F.pow(F.col("t") - expected, F.lit(2)) / F.greatest(expected * F.lit(1 - t / n) * (1 - F.col("n") / F.lit(n)), F.lit(1e-9))
-    best = counts.where(F.col("n") >= LEAST_DOCS).orderBy(F.round(gain, 6).desc(), "feature").limit(MAX_WORDS)
+    best = counts.where(F.col("n") >= least_docs).orderBy(F.round(gain, 6).desc(), "feature").limit(max_words)
     return [r["feature"] for r in best.select("feature").collect()]
 
 
-def fit(rows: DataFrame) -> Model:
+def fit(rows: DataFrame, max_words: int = MAX_WORDS, least_docs: int = LEAST_DOCS) -> Model:
     """Fit to `toxic, text` rows, whose number is bounded by the caller."""
     rows = written_table(rows, "toxicity-sample")
     sums = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") > 0).alias("t")).first()
     if not 0 < sums["t"] < sums["n"]:
         return Model()
-    words = telling_features(rows, sums["n"], sums["t"])
-    featured = rows.mapInArrow(_numbered(words), "toxic int, sentences array<array<int>>").toArrow()
-    documents = sorted(zip((int(x > 0) for x in featured.column("toxic").to_pylist()), featured.column("sentences").to_pylist()))
-    y = np.array([label for label, _ in documents], np.float64)
+    words = telling_features(rows, sums["n"], sums["t"], max_words, least_docs)
+    featured = rows.mapInArrow(_numbered(words), "toxic int, sentences array<array<int>>, counts array<bigint>").toArrow()
+    columns = (featured.column(name).to_pylist() for name in ("toxic", "sentences", "counts"))
+    documents = sorted((int(label > 0), sentences, counts) for label, sentences, counts in zip(*columns))
+    y = np.array([label for label, _, _ in documents], np.float64)
+    many = np.array([n for _, _, counts in documents for n in counts], np.float64)
     owner, sentence, word = [], [], []
-    for d, (_, sentences) in enumerate(documents):
+    for d, (_, sentences, _) in enumerate(documents):
         for s in sentences:
             word += s
             sentence += [len(owner)] * len(s)
             owner.append(d)
     owner, sentence, word = (np.array(x, np.int64) for x in (owner, sentence, word))
+    length = np.log(np.maximum(np.bincount(owner, many, len(y)), 1))[owner]
     w, moments, rate = np.append(np.zeros(len(words)), _START_BIAS), np.zeros((2, len(words) + 1)), 0.1
     for step in range(1, STEPS + 1):
-        z = w[-1] + np.bincount(sentence, w[word], len(owner))
+        z = w[-1] - length + np.bincount(sentence, w[word], len(owner))
         # -log(1 - p) of a sentence is softplus(z); a document's is their sum.
-        total = np.bincount(owner, np.logaddexp(0, z), len(y))
-        slope = np.where(y > 0, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0) / len(y)
-        by_sentence = slope[owner] / (1 + np.exp(-z))
+        total = np.bincount(owner, many * np.logaddexp(0, z), len(y))
+        slope = np.where(y > 0, -1 / np.expm1(np.clip(total, 1e-9, 700)), 1.0) / len(y)
+        by_sentence = slope[owner] * many / (1 + np.exp(-z))
         gradient = np.append(np.bincount(word, by_sentence[sentence], len(words)) + _DECAY * w[:-1], by_sentence.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.999 * moments[1] + 0.001 * gradient**2

@@ -1,9 +1,12 @@
 """Corpus operators: SQL, plain versions, and odd inputs."""
 
 import hashlib
+import math
 import os
 import random
+import re
 import time
+import zlib
 
 import pytest
 import sentencepiece
@@ -171,6 +174,24 @@ def test_cascade_is_exact_and_agrees_with_the_join(spark):
     joined = {r.page_id: r for r in urls.url_verdicts(pages, rules, max_words=0).collect()}
     assert cascade == joined and cascade[-1].verdict == "allow" and cascade[-3].rule == "h5.example.org/p5/"
     assert urls.url_verdicts(pages, rules.limit(0)).where("verdict = 'block'").count() == 0 and len(URL_RULES) == 5
+    assert urls.url_verdicts(pages.limit(0), rules).count() == 0
+
+
+def test_cascade_of_rules_of_many_shapes(spark):
+    """200 path lengths and 6 label counts: a plain loop's answers, and no join in the plan."""
+    draw = random.Random(5)
+    hosts = [".".join(f"{draw.choice('abc')}{k}" for k in range(n, 0, -1)) for n in range(1, 7) for _ in range(12)]
+    deep = "/" + "".join(draw.choice("xy/") for _ in range(220))
+    rules = {f"{draw.choice(hosts)}{deep[:m]}": draw.choice(("block", "allow")) for m in range(1, 201)}
+    rules |= {f"{h}/": draw.choice(("block", "allow")) for h in hosts[::5]}
+    rows = [(i, f"s://{draw.choice(hosts)}{deep[: draw.randrange(220)]}?q") for i in range(600)] + [(-1, None), (-2, "s://a1"), (-3, "s://" + "a." * 900 + "a1/x")]
+    made = spark.createDataFrame(list(rules.items()), "rule string, verdict string")
+    out = urls.url_verdicts(spark.createDataFrame(rows, "page_id bigint, url string"), made)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        fits = [k for k in rules if (r.host == k.split("/")[0] or r.host.endswith("." + k.split("/")[0])) and r.path.startswith(k[k.index("/") :])]
+        best = max(fits, key=lambda k: (len(k), k.count(".", 0, k.index("/"))), default=None)
+        assert (r.rule, r.verdict) == (best, rules.get(best, "allow"))
 
 
 def test_mix_meets_targets(spark):
@@ -191,6 +212,37 @@ def test_toxicity_on_held_out_documents(spark):
     assert (x.predicted == x.toxic).mean() > 0.96 and (x[x.toxic == 0].predicted).mean() < 0.01
 
 
+def test_toxicity_does_not_rise_with_length(spark):
+    """Scores of the plain formula; clean sentences stay clean in any number, and one bad sentence is found among them."""
+    model = toxicity.Model(-5.0, {"day": 0.1, "vile": 14.0, "vil*": 1.0})
+    score = model.scorer()
+    texts = ["fine day. " * n for n in (1, 1000, 100_000)] + ["fine day. " * 500 + "So vile! " + "Fine day. " * 500, "", None, "1. 2. 3"]
+    for text in texts:
+        bags = [set(w) for s in re.split(r"[.!?\n]", text or "") if (w := re.findall(r"[^\W\d_]+", s.lower()))]
+        clean = 1.0
+        for bag in bags:
+            z = model.bias - math.log(len(bags)) + sum(model.weights.get(f, 0) for f in {f for w in bag for f in toxicity.features_of(w)})
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        value, n, found = score(text)
+        assert value == pytest.approx(1 - clean, abs=1e-9) and n == len(bags) and [text[x["start"] : x["end"]] for x in found] == [" So vile"] * ("vile" in (text or ""))
+        assert value < 0.01 or "vile" in text
+    untrained = toxicity.Model().scorer()
+    assert untrained("A clean one. " * 400)[0] < 0.01
+
+
+def test_toxicity_without_labels_of_both_kinds(spark):
+    docs = spark.createDataFrame([(i, "vile day" if i % 2 else "fine day") for i in range(1, 40)] * 2, "doc_id bigint, text string")
+    for rows in ([], [(i, 0) for i in range(40)], [(i, 1) for i in range(40)], [(i, None) for i in range(40)]):
+        model = toxicity.fit(toxicity.training_rows(docs, spark.createDataFrame(rows, "doc_id bigint, toxic int")))
+        assert model == toxicity.Model()
+        out = toxicity.scored(docs, model).collect()
+        assert len(out) == 78 and not any(r.predicted for r in out)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 3, "doc_id bigint, toxic int")
+    rows = toxicity.training_rows(docs, labels)
+    assert rows.count() == len({i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5})
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.scored(docs, toxicity.fit(rows)).collect())
+
+
 def test_pipeline_stages(spark, fresh_dir):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     columns = docs.columns
