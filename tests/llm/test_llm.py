@@ -118,6 +118,42 @@ def test_fingerprints_follow_the_texts(spark, documents):
         assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
 
 
+def plain_sketch(text):
+    """Phrases kept as byte strings, hashed one by one: the smallest of the distinct 32-bit values."""
+    phrases, grown = set(), b""
+    for c in text.encode():
+        grown += bytes([c])
+        if grown not in phrases:
+            phrases.add(grown)
+            grown = b""
+    values = set()
+    for phrase in phrases:
+        x = 0
+        for c in phrase:
+            x = (x * 1000003 + c + 1) % 2**60
+        x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 % 2**64
+        x = (x ^ (x >> 29)) * 0x9FB21C651E98DF25 % 2**64
+        values.add((x ^ (x >> 32)) >> 32)
+    return sorted(values)[: fingerprints.SIZE]
+
+
+def test_fingerprints_equal_a_plain_parse(spark, documents):
+    texts = {**dict(sorted(documents.items())[:60]), 10**6: "", 10**6 + 1: "aaaaaaaa" * 40, 10**6 + 2: "aaaaaaaa" * 40, 10**6 + 3: "é中😀" * 7}
+    got = {r.doc_id: r for r in fingerprints.neighbours_compared(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+
+    def alike(a, b):
+        union = sorted(set(a) | set(b))[: fingerprints.SIZE]
+        return sum(x in a and x in b for x in union) / len(union) if a and b else float(a == b)
+
+    ids = sorted(texts)
+    for i, after in zip(ids, ids[1:] + ids[:1]):
+        text, n = texts[i], len(texts[i])
+        own, other = plain_sketch(text), plain_sketch(text[: n - n // 2] + texts[after][: n // 2])
+        assert got[i].fingerprint == "".join(f"{x:08x}" for x in own) and got[i].edited_fingerprint == "".join(f"{x:08x}" for x in other)
+        assert got[i].n_chars == n and got[i].near_edited == pytest.approx(alike(own, other))
+        assert got[i].near_next == pytest.approx(alike(own, plain_sketch(texts[after])))
+
+
 def test_surrogates_are_distinct_coreferent_and_formatted(spark):
     text = "Mrs. Anna Smith +1 (017) 555-7713 and +1 017 555 7713, 4111 1111 1111 1111, n@x.org N@X.ORG"
     rows = [(i, f"p{i}@q.org {text}") for i in range(60)]
@@ -250,3 +286,21 @@ def test_pipeline_stages(spark, fresh_dir):
         stage(spark, docs, SF_DIR).write.parquet(f"{fresh_dir}/{name}")
         docs = spark.read.parquet(f"{fresh_dir}/{name}")
         assert docs.count() > 0 and (docs.columns == columns or name == STAGES[-1][0])
+
+
+def test_pipeline_stages_on_odd_and_empty_documents(spark, fresh_dir):
+    """NULLs, empty texts, repeated rows and an empty table pass through every stage, each on its own input."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = docs.limit(3).union(docs.limit(3)).collect()
+    blank = tuple(None for _ in docs.columns)
+    at = docs.columns.index("text")
+    rows += [blank, (*rows[0][:at], "", *rows[0][at + 1 :]), (*rows[0][:at], None, *rows[0][at + 1 :])]
+    odd = spark.createDataFrame([tuple(r) for r in rows], docs.schema)
+    for kind, given in (("odd", odd), ("none", odd.limit(0))):
+        for name, stage in STAGES:
+            stage(spark, given, SF_DIR).write.parquet(f"{fresh_dir}/{kind}-{name}")
+            out = spark.read.parquet(f"{fresh_dir}/{kind}-{name}")
+            assert out.columns == docs.columns or name == STAGES[-1][0]
+            assert (out.count() == 0) == (kind == "none")
+            if name in ("private_surrogates", "piece_encoding"):
+                assert out.count() == given.count()
