@@ -21,8 +21,9 @@ from __future__ import annotations
 import heapq
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -190,12 +191,29 @@ _SHORT = 40
 _NONE = float("-inf")
 
 
+class _Known(dict):
+    """Encodings by word: those given stay, others are folded when they are met and forgotten when they are many."""
+
+    def __init__(self, given: dict[str, tuple[int, ...]], fold: Callable[[str], tuple[int, ...]], limit: int):
+        super().__init__(given)
+        self.fold, self.limit = fold, limit
+        self.rare: list[str] = []
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self.rare) >= self.limit:
+            for w in self.rare:
+                del self[w]
+            self.rare.clear()
+        self.rare.append(word)
+        found = self[word] = self.fold(word)
+        return found
+
+
 class Encoder:
     """Word by word: known encodings first, the same folds for other words; forgets those when they are many."""
 
     def __init__(self, pieces: Pieces, known: dict[str, tuple[int, ...]], limit: int = 200_000):
-        self.pieces, self.known, self.limit = pieces, known, limit
-        self.rare: dict[str, tuple[int, ...]] = {}
+        self.pieces, self.known = pieces, _Known(known, self.folded, limit)
         self.find = re.compile(pieces.pattern()).findall
         octets = {i: bytes([b]) for b, i in enumerate(pieces.bytes_at)}
         self.data = [octets.get(i) or t.encode("utf-8", "surrogatepass") for i, t in enumerate(pieces.texts)]
@@ -279,17 +297,10 @@ class Encoder:
         return parts[::-1]
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
         if not text:
-            return ids
-        for word in self.find(SPACE + text.replace(" ", SPACE)):
-            found = self.known.get(word) or self.rare.get(word)
-            if found is None:
-                if len(self.rare) >= self.limit:
-                    self.rare.clear()
-                found = self.rare[word] = self.folded(word)
-            ids += found
-        return ids
+            return []
+        # Looked up and joined without a step of Python for each word.
+        return list(chain.from_iterable(map(self.known.__getitem__, self.find(SPACE + text.replace(" ", SPACE)))))
 
     def decode(self, ids: list[int]) -> str:
         """Runs of byte pieces are read as UTF-8; the space put in front is taken away."""
