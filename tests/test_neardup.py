@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from millrace.operators import neardup
+from millrace.sources import scratch
 
 
 def shingles(body):
@@ -83,6 +84,40 @@ def test_no_two_kept_units_of_a_bucket_are_near(spark):
         assert min(reached) < p and min(reached) in got
 
 
+def test_unlike_units_of_a_bucket_take_few_rounds_and_no_sets(spark):
+    """Units that share a passage, but are not near: no round for each 32 of them, and their sets are not compared."""
+    draw = random.Random(9)
+    base = [f"t{i}" for i in range(170)]
+    rows = [(f"g{k:03}.go", 1, " ".join(base + [f"o{draw.randrange(10**6)}" for _ in range(35)])) for k in range(300)]
+    since = len(scratch.made_paths())
+    assert kept(spark, rows) == {p for p, _, _ in rows}
+    made = [p.rsplit("/", 1)[1] for p in scratch.made_paths(since)]
+    assert sum(p.startswith("near-left") for p in made) <= 3
+    units = spark.createDataFrame([(i, b) for i, (_, _, b) in enumerate(rows)], "unit long, body string")
+    members = neardup.sharing(neardup.signatures(units.select("unit", neardup.shingle_set(F.col("body")).alias("hashes"))))
+    assert members.groupBy("bucket").count().agg(F.max("count")).first()[0] > 3 * neardup.LEADERS
+    heads = members.withColumn("rank", F.lit(1))
+    assert neardup.candidates(heads, members, 80).count() == 0
+
+
+def test_near_pairs_pass_the_parities(spark):
+    """Sets of 5 to 5,000 elements at the limit: as many elements apart as it allows, or one more."""
+    sets, want = [], set()
+    for k, n in enumerate([5, 9, 90, 900, 5000]):
+        both = list(range(k * 10**7, k * 10**7 + 64 * n, 64))
+        apart = (len(both) + 3) // 4
+        for more in (0, 1):
+            unit = 4 * k + 2 * more
+            least = apart if more else len(both) // 4
+            sets += [(unit, [7 * h for h in both]), (unit + 1, [7 * h for h in both] + [-1 - 11 * i for i in range(least)])]
+            if 100 * len(both) >= 80 * (len(both) + least):
+                want.add((unit, unit + 1))
+    signed = neardup.signatures(spark.createDataFrame(sets, "unit long, hashes array<long>"))
+    members = signed.drop("buckets").withColumn("bucket", F.col("unit") - F.col("unit") % 2)
+    pairs = neardup.candidates(members.withColumn("rank", F.lit(1)), members, 80)
+    assert want and want <= {(r.head, r.unit) for r in pairs.collect()}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(1, 400).selectExpr("id * 7 % 400 AS head", "(id * 7 + 7) % 400 AS unit")
     found = {r.unit: r.first for r in neardup.components(edges, "head", "unit").collect()}
