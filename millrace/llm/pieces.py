@@ -23,8 +23,10 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
+from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,7 +91,8 @@ def escaped(text: Column) -> Column:
 
 def frequent_words(docs: DataFrame, pieces: Pieces, limit: int = MAX_WORDS, text: str = "text") -> DataFrame:
     """`word`, at most `limit` of the most frequent ones: all whose count lies above a bound."""
-    every = docs.select(F.explode(F.regexp_extract_all(escaped(F.col(text)), F.lit(pieces.pattern()), F.lit(0))).alias("word"))
+    # An inner explode would be given a filter on the array's size, which makes the array twice.
+    every = docs.select(F.explode_outer(F.regexp_extract_all(escaped(F.col(text)), F.lit(pieces.pattern()), F.lit(0))).alias("word"))
     counts = written_table(every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.length("word") <= MAX_CHARS), "piece-words")
     # Eight steps for each power of two: a few hundred rows, whatever the corpus.
     step = F.floor(F.log2("n") * 8)
@@ -188,6 +191,8 @@ def encoded_words(words: DataFrame, pieces: Pieces) -> DataFrame:
 
 #: Words up to this length are merged by scanning their pairs, longer ones with a heap.
 _SHORT = 40
+#: Words from this length on are merged by halves.
+_WHOLE = 6
 _NONE = float("-inf")
 
 
@@ -202,21 +207,38 @@ class _Known(dict):
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self.rare) >= self.limit:
             for w in self.rare:
-                del self[w]
+                self.pop(w, None)
             self.rare.clear()
         self.rare.append(word)
         found = self[word] = self.fold(word)
         return found
 
 
+class _Made(dict):
+    """What `make` gives for a key, remembered until there are many."""
+
+    def __init__(self, make: Callable, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        made = self[key] = self.make(key)
+        return made
+
+
 class Encoder:
     """Word by word: known encodings first, the same folds for other words; forgets those when they are many."""
 
     def __init__(self, pieces: Pieces, known: dict[str, tuple[int, ...]], limit: int = 200_000):
-        self.pieces, self.known = pieces, _Known(known, self.folded, limit)
+        self.pieces, self.known = pieces, _Known(known, self.folded, limit // 4)
         self.find = re.compile(pieces.pattern()).findall
+        self.halves, self.apart = _Made(self._merged_short, limit // 4), _Made(self._stay_apart, limit // 4)
         octets = {i: bytes([b]) for b, i in enumerate(pieces.bytes_at)}
+        self.two = {p: score for p, score in pieces.scores.items() if len(p) == 2}
         self.data = [octets.get(i) or t.encode("utf-8", "surrogatepass") for i, t in enumerate(pieces.texts)]
+        self.octets = pa.array(self.data, pa.binary())
 
     held: tuple[str, Encoder] | None = None
 
@@ -224,35 +246,62 @@ class Encoder:
     def of(key: str, pieces: Pieces, packed: bytes) -> Encoder:
         """Built once in a worker for one dictionary; the latest is kept."""
         if Encoder.held is None or Encoder.held[0] != key:
+            if Encoder.held is not None:
+                # It refers to itself, so it would stay for a while.
+                Encoder.held[1].known.clear()
+                Encoder.held[1].forget()
             Encoder.held = None
             table = pa.ipc.open_stream(packed).read_all()
             known = {w: tuple(i) for w, i in zip(table.column("word").to_pylist(), table.column("ids").to_pylist())}
+            del table
             Encoder.held = (key, Encoder(pieces, known))
         return Encoder.held[1]
 
+    def forget(self) -> None:
+        """What can be made again."""
+        self.halves.clear()
+        self.apart.clear()
+
     def folded(self, word: str) -> tuple[int, ...]:
         parts = self.merged(word) if self.pieces.kind == "bpe" else self.best_path(word)
-        ids: list[int] = []
-        for p in parts:
-            i = self.pieces.ids.get(p)
-            ids += [i] if i is not None else [self.pieces.bytes_at[b] for b in p.encode("utf-8", "surrogatepass")]
-        return tuple(ids)
+        found = tuple(map(self.pieces.ids.get, parts))
+        if None not in found:
+            return found
+        octets = self.pieces.bytes_at
+        return tuple(chain.from_iterable([i] if i is not None else [octets[b] for b in p.encode("utf-8", "surrogatepass")] for p, i in zip(parts, found)))
 
     def merged(self, word: str) -> list[str]:
         """Segments after all merges, best score first, of equal ones the leftmost."""
-        return self._merged_short(word) if len(word) <= _SHORT else self._merged_long(word)
+        if len(word) > _SHORT:
+            return self._merged_long(word)
+        if len(word) < _WHOLE:
+            return self._merged_short(word)
+        # Beginnings and ends of words come again more often than words. They are cut where two characters are least like a piece.
+        third = len(word) // 3
+        pairs = list(map(self.two.get, map(add, word[third:], word[third + 1 : len(word) - third + 1]), repeat(_NONE)))
+        cut = third + 1 + pairs.index(min(pairs))
+        left, right = self.halves[word[:cut]], self.halves[word[cut:]]
+        return left + right if self.apart[left[-1], right[0]] else self._merged_short(word)
+
+    def _stay_apart(self, two: tuple[str, str]) -> bool:
+        """Whether no merge reaches over the edge of two neighbouring segments, each the last or first of its half.
+
+        Until a merge reaches over it, the segments of both halves are merged as if they stood alone. The first one that did
+        would join parts of these two segments, and would be the best one in their text alone too.
+        """
+        return self._merged_short(two[0] + two[1]) == list(two)
 
     def _merged_short(self, word: str) -> list[str]:
         parts, score = list(word), self.pieces.scores.get
-        pairs = [score(a + b, _NONE) for a, b in zip(parts, parts[1:])]
+        pairs = list(map(self.two.get, map(add, word, word[1:]), repeat(_NONE)))
         while pairs and (best := max(pairs)) > _NONE:
             i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del pairs[i]
+            part = parts[i] = parts[i] + parts.pop(i + 1)
             if i:
-                pairs[i - 1] = score(parts[i - 1] + parts[i], _NONE)
+                pairs[i - 1] = score(parts[i - 1] + part, _NONE)
             if i < len(pairs):
-                pairs[i] = score(parts[i] + parts[i + 1], _NONE)
+                pairs[i] = score(part + parts[i + 1], _NONE)
         return parts
 
     def _merged_long(self, word: str) -> list[str]:
@@ -297,15 +346,33 @@ class Encoder:
         return parts[::-1]
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
+        return self._ids(text).tolist()
+
+    def _ids(self, text: str) -> np.ndarray:
         # Looked up and joined without a step of Python for each word.
-        return list(chain.from_iterable(map(self.known.__getitem__, self.find(SPACE + text.replace(" ", SPACE)))))
+        words = self.find(SPACE + text.replace(" ", SPACE)) if text else []
+        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and where each text's begin (with the end of the last)."""
+        ids = [np.zeros(0, np.int32), *map(self._ids, texts)]
+        return np.concatenate(ids), np.cumsum(list(map(len, ids)))
 
     def decode(self, ids: list[int]) -> str:
         """Runs of byte pieces are read as UTF-8; the space put in front is taken away."""
-        data = b"".join(map(self.data.__getitem__, ids))
-        return data.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+        return self._read(b"".join(map(self.data.__getitem__, ids)))
+
+    def decode_all(self, ids: np.ndarray, begins: np.ndarray) -> list[str]:
+        """The same for texts one after the other."""
+        if not len(ids):
+            return [""] * (len(begins) - 1)
+        _, ends, octets = self.octets.take(pa.array(ids)).buffers()
+        at, data = np.frombuffer(ends, np.int32)[begins].tolist(), memoryview(octets)
+        return [self._read(data[a:b]) for a, b in zip(at, at[1:])]
+
+    @staticmethod
+    def _read(data: bytes | memoryview) -> str:
+        return str(data, "utf-8", "replace").replace(SPACE, " ")[1:]
 
 
 def _packed(table: pa.Table) -> bytes:
@@ -316,7 +383,20 @@ def _packed(table: pa.Table) -> bytes:
 
 
 _ENCODED = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
-_BATCH = 200
+#: Texts are met together up to so many, and so many characters; a longer one by itself.
+_BATCH, _CHARS = 200, 1 << 20
+
+
+def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most `_CHARS` characters, or of a single text."""
+    first, chars = 0, 0
+    for at, text in enumerate(texts):
+        if at > first and chars + len(text) > _CHARS:
+            yield first, at
+            first, chars = at, 0
+        chars += len(text)
+    if texts:
+        yield first, len(texts)
 
 
 def encoded(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_WORDS) -> DataFrame:
@@ -331,10 +411,13 @@ def encoded(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
         for batch in batches:
             for at in range(0, batch.num_rows, _BATCH):
                 part = batch.slice(at, _BATCH)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = [encoder.encode(t) for t in texts]
-                back = [encoder.decode(i) == t for i, t in zip(ids, texts)]
-                yield pa.record_batch([part.column(0), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(back)], schema=_ENCODED)
+                every = [t or "" for t in part.column(1).to_pylist()]
+                for a, b in _together(every):
+                    ids, begins = encoder.encode_all(texts := every[a:b])
+                    back = [x == t for x, t in zip(encoder.decode_all(ids, begins), texts)]
+                    lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids))
+                    yield pa.record_batch([part.column(0).slice(a, b - a), pa.array(np.diff(begins), pa.int64()), lists, pa.array(back, pa.bool_())], schema=_ENCODED)
+        encoder.forget()
 
     return plain.mapInArrow(encode, "doc_id bigint, n_pieces bigint, ids array<int>, round_trip boolean")
 

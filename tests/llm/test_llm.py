@@ -191,6 +191,23 @@ def test_long_words_take_little_time():
     assert time.monotonic() - start < 60
 
 
+def test_words_are_merged_by_halves_and_texts_read_back_at_once(documents, monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    encoder = pieces.Encoder(pieces.Pieces.read(PIECE_MODEL), {}, limit=500)
+    draw, whole = random.Random(5), []
+    letters = ["a", "aa", "e", "é", "ing", "tion", "ss", "\u4e2d", "\U0001f600", "\u0301", ",", ".", "--", "9"]
+    texts = [*documents.values(), "", "\u2581x\u2581", " \n\n  a"]
+    texts += [" ".join("".join(draw.choice(letters) for _ in range(draw.randrange(1, 12))) for _ in range(40)) for _ in range(150)]
+    merge = encoder._merged_short
+    monkeypatch.setattr(encoder, "_merged_short", lambda word: whole.append(word) or merge(word))
+    ids, begins = encoder.encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [library.encode(t) for t in texts]
+    assert encoder.decode_all(ids, begins) == [encoder.decode(library.encode(t)) for t in texts]
+    words = {w for t in texts if t for w in encoder.find("\u2581" + t.replace(" ", "\u2581")) if pieces._WHOLE <= len(w) <= pieces._SHORT}
+    assert len(words.intersection(whole)) < len(words) / 2
+    assert [x for a, b in pieces._together(["ab" * 10**6, "", "c"]) for x in range(a, b)] == [0, 1, 2] and not list(pieces._together([]))
+
+
 def test_unigram_lattice_equals_the_plain_recursion(spark):
     scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "c": -4.0, "ab": -3.1, "bc": -3.0, "▁a": -3.5, "abc": -5.9, "ca": -3.3}
     ids = {p: 300 + i for i, p in enumerate(scores)}
