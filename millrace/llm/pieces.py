@@ -234,7 +234,7 @@ class Encoder:
     def __init__(self, pieces: Pieces, known: dict[str, tuple[int, ...]], limit: int = 200_000):
         self.pieces, self.known = pieces, _Known(known, self.folded, limit // 4)
         self.find = re.compile(pieces.pattern()).findall
-        self.halves, self.apart = _Made(self._merged_short, limit // 4), _Made(self._stay_apart, limit // 4)
+        self.halves, self.apart = _Made(self._merged_short, limit // 2), _Made(self._stay_apart, limit // 4)
         octets = {i: bytes([b]) for b, i in enumerate(pieces.bytes_at)}
         self.two = {p: score for p, score in pieces.scores.items() if len(p) == 2}
         self.data = [octets.get(i) or t.encode("utf-8", "surrogatepass") for i, t in enumerate(pieces.texts)]
@@ -417,7 +417,6 @@ def encoded(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
                     back = [x == t for x, t in zip(encoder.decode_all(ids, begins), texts)]
                     lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids))
                     yield pa.record_batch([part.column(0).slice(a, b - a), pa.array(np.diff(begins), pa.int64()), lists, pa.array(back, pa.bool_())], schema=_ENCODED)
-        encoder.forget()
 
     return plain.mapInArrow(encode, "doc_id bigint, n_pieces bigint, ids array<int>, round_trip boolean")
 
